@@ -60,12 +60,6 @@ def shingle_starts(n_bytes: Column, k: int) -> Column:
         F.array().cast("array<int>"))
 
 
-def byte_at(byte_str: Column, i: Column | int) -> Column:
-    """Unsigned value (0..255) of the byte at 1-based offset ``i``."""
-    i = F.lit(i) if isinstance(i, int) else i
-    return F.ascii(byte_str.substr(i, F.lit(1)))
-
-
 def shingle_code(shingle: Column, k: int) -> Column:
     """Injective integer code of a k-byte shingle (big-endian bytes), k <= 7."""
     if k > 7:
@@ -74,12 +68,3 @@ def shingle_code(shingle: Column, k: int) -> Column:
     for i in range(1, k + 1):
         code = code * 256 + F.ascii(shingle.substr(F.lit(i), F.lit(1))).cast("long")
     return code
-
-
-def shingle_weight(shingle: Column, k: int) -> Column:
-    """Position-weighted byte sum ``sum(byte[i] * (i + 1))`` used for the
-    lossy per-sentence de-duplication (bytes taken unsigned)."""
-    w = F.lit(0)
-    for i in range(1, k + 1):
-        w = w + F.ascii(shingle.substr(F.lit(i), F.lit(1))) * i
-    return w

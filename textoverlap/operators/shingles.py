@@ -1,19 +1,24 @@
-"""Shingle operators: k-byte shingles, weights, per-sentence sets."""
+"""Shingle operators: k-byte shingles, weights, per-sentence sets.
+
+Shingles are produced by ``explode`` over start offsets (one byte-view decode
+per sentence, then a codegen'd substring per shingle); sets are aggregates
+over the shingle rows, whose partial step runs map-side because all shingles
+of a sentence are produced by one task.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textoverlap.functions.shingle import code_array, code_hex, code_weight, weighted_set
+from textoverlap.functions.shingle import code_hex, code_weight
 from textoverlap.functions.text import byte_view, shingle_code, shingle_starts
 
 
 def shingles(df: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
     """``(*keys, spos, shingle, code, weight)``: every k-byte shingle, duplicates kept.
 
-    ``shingle`` is the hex of the bytes; ``spos`` starts at 1. Explode and
-    substring run in one codegen stage; the sentence string is not carried on.
+    ``shingle`` is the hex of the bytes; ``spos`` starts at 1.
     """
     b = df.select(*keys, byte_view(F.col("text")).alias("_b"),
                   F.explode(shingle_starts(F.octet_length("text"), k)).alias("spos"))
@@ -22,22 +27,43 @@ def shingles(df: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
                     code_weight(F.col("code"), k).alias("weight"))
 
 
-def with_sets(df: DataFrame, k: int = 3) -> DataFrame:
-    """Adds ``codes`` (all shingles), ``set_exact`` and ``set_weighted`` arrays."""
-    c = df.withColumn("codes", code_array(F.col("text"), k))
-    return (c.withColumn("set_exact", F.array_distinct("codes"))
-            .withColumn("set_weighted", weighted_set(F.col("codes"), k)))
+def set_rows(sh: DataFrame, keys: list[str], kind: str = "exact") -> DataFrame:
+    """``(*keys, spos, code)``: the first occurrence of each set member.
+
+    ``exact`` de-duplicates on the shingle; ``weighted`` on its weighted byte
+    sum, first wins, as the original does (distinct shingles with equal sums
+    collapse).
+    """
+    if kind == "exact":
+        return sh.groupBy(*keys, "code").agg(F.min("spos").alias("spos")).select(*keys, "spos", "code")
+    if kind == "weighted":
+        f = sh.groupBy(*keys, "weight").agg(F.min(F.struct("spos", "code")).alias("f"))
+        return f.select(*keys, F.col("f.spos").alias("spos"), F.col("f.code").alias("code"))
+    raise ValueError(kind)
+
 
+def ranked_set(rows: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
+    """``(*keys, rank, code, shingle)``, rank = position order within the sentence."""
+    w = Window.partitionBy(*keys).orderBy("spos")
+    return rows.select(*keys, F.row_number().over(w).alias("rank"), "code", code_hex(F.col("code"), k).alias("shingle"))
 
-def explode_set(df: DataFrame, keys: list[str], set_col: str, k: int = 3) -> DataFrame:
-    """``(*keys, rank, code, shingle)``: one row per set element, rank from 1."""
-    e = df.select(*keys, F.posexplode(set_col).alias("_p", "code"))
-    return e.select(*keys, (F.col("_p") + 1).alias("rank"), "code", code_hex(F.col("code"), k).alias("shingle"))
+
+def set_arrays(df: DataFrame, key: str, k: int = 3, kind: str = "exact") -> DataFrame:
+    """``(key, set)``: sorted array of member codes, sentences with >= k bytes only."""
+    rows = set_rows(shingles(df, [key], k), [key], kind)
+    return rows.groupBy(key).agg(F.sort_array(F.collect_list("code")).alias("set"))
 
 
 def shingle_stats(df: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
-    """Per sentence: number of shingles, exact set size, weighted set size."""
-    s = with_sets(df, k)
-    return s.select(*keys, F.size("codes").alias("n_shingles"),
-                    F.size("set_exact").alias("n_set_exact"),
-                    F.size("set_weighted").alias("n_set_weighted"))
+    """Per sentence: number of shingles, exact set size, weighted set size.
+
+    Set sizes are distinct counts of codes and of weights; sentences shorter
+    than k report zeros.
+    """
+    sh = shingles(df, keys, k)
+    st = sh.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_shingles"),
+                               F.count_distinct("code").alias("n_set_exact"),
+                               F.count_distinct("weight").alias("n_set_weighted"))
+    out = df.select(*keys).join(st, keys, "left")
+    return out.select(*keys, *[F.coalesce(F.col(c), F.lit(0)).alias(c)
+                               for c in ("n_shingles", "n_set_exact", "n_set_weighted")])

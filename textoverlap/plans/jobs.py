@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from textoverlap.config import Params
 from textoverlap.operators import edit_join, jaccard_join, scoring
 from textoverlap.operators.sentences import distinct_sentences, postings, sentence_counts, sentences
-from textoverlap.operators.shingles import with_sets
+from textoverlap.operators.shingles import set_arrays
 
 
 @dataclass
@@ -35,7 +35,7 @@ class Corpus:
     def of(cls, docs: DataFrame, k: int = 3) -> "Corpus":
         sents = sentences(docs)
         distinct = distinct_sentences(sents)
-        sets = with_sets(distinct, k).select("sid", F.col("set_exact").alias("set"))
+        sets = set_arrays(distinct, "sid", k, "exact")
         return cls(docs, sents, distinct, postings(sents), sentence_counts(docs), sets)
 
 

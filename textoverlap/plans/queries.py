@@ -16,7 +16,7 @@ from textoverlap.functions.text import ascii_lower, delimiter_count
 from textoverlap.functions.vectors import cosine_from_sums
 from textoverlap.operators import jaccard_join, edit_join
 from textoverlap.operators.sentences import sentence_counts, sentence_id, sentences
-from textoverlap.operators.shingles import explode_set, shingle_stats, shingles, with_sets
+from textoverlap.operators.shingles import ranked_set, set_rows, shingle_stats, shingles
 from textoverlap.operators.signatures import minhash
 from textoverlap.operators.vocabulary import vocabulary
 from textoverlap.operators.report import fixed4, verdict
@@ -67,19 +67,19 @@ def q_shingle_weights(spark, sf):
 
 
 def q_shingle_sets(spark, sf):
-    return explode_set(with_sets(_sents(spark, sf), P.k), KEYS, "set_exact", P.k)
+    return ranked_set(set_rows(shingles(_sents(spark, sf), KEYS, P.k), KEYS, "exact"), KEYS, P.k)
 
 
 def q_shingle_sets_weighted(spark, sf):
-    return explode_set(with_sets(_sents(spark, sf), P.k), KEYS, "set_weighted", P.k)
+    return ranked_set(set_rows(shingles(_sents(spark, sf), KEYS, P.k), KEYS, "weighted"), KEYS, P.k)
 
 
 def q_shingle_stats(spark, sf):
     return shingle_stats(_sents(spark, sf), KEYS, P.k)
 
 
-def _vocab(sents):
-    return vocabulary(shingles(sents, KEYS, P.k), KEYS, P.k)
+def _vocab(sents, sh=None):
+    return vocabulary(sh if sh is not None else shingles(sents, KEYS, P.k), KEYS, P.k)
 
 
 def q_vocabulary(spark, sf):
@@ -89,8 +89,9 @@ def q_vocabulary(spark, sf):
 
 def _members(sents):
     """``(doc_id, pos, vid)``: weighted set of each sentence in vocabulary ids."""
-    w = explode_set(with_sets(sents, P.k), KEYS, "set_weighted", P.k)
-    return w.join(_vocab(sents).select("code", "vid"), "code").select(*KEYS, "vid")
+    sh = shingles(sents, KEYS, P.k)
+    w = set_rows(sh, KEYS, "weighted")
+    return w.join(_vocab(sents, sh).select("code", "vid"), "code").select(*KEYS, "vid")
 
 
 def q_sentence_membership(spark, sf):
