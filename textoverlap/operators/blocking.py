@@ -21,7 +21,27 @@ def _block_counts(df: DataFrame, key: str, block_rows: int, name: str) -> DataFr
         F.greatest(F.lit(1), F.ceil(n / F.lit(block_rows)).cast("int")).alias(name))
 
 
-def blocked_self_pairs(df: DataFrame, key: str, id_col: str, block_rows: int) -> DataFrame:
+def _spread(left: DataFrame, right: DataFrame, key: str, partitions: int | None):
+    """Hash-partition both sides on the block-pair key with a fixed count.
+
+    The pair join is heavy per input byte (quadratic work), so AQE must not
+    coalesce its input into a few tasks; an explicit ``repartition(n, cols)``
+    is left alone by AQE and the join reuses the partitioning.
+    """
+    if not partitions:
+        return left, right
+    cols = [key, "_lb", "_rb"]
+    return left.repartition(partitions, *cols), right.repartition(partitions, *cols)
+
+
+def pair_partitions(spark, factor: int = 4) -> int:
+    """Partition count for pair joins: a multiple of the configured shuffle width."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(n, spark.sparkContext.defaultParallelism) * factor
+
+
+def blocked_self_pairs(df: DataFrame, key: str, id_col: str, block_rows: int,
+                       partitions: int | None = None) -> DataFrame:
     """Unordered pairs of rows sharing ``key``, each pair once, ``l_id < r_id``.
 
     Columns of ``df`` come back prefixed ``l_`` and ``r_``; rows are swapped so
@@ -37,6 +57,7 @@ def blocked_self_pairs(df: DataFrame, key: str, id_col: str, block_rows: int) ->
                     *[F.col(c).alias("l_" + c) for c in cols])
     right = b.select(F.col(key), F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_lb"),
                      F.col("_blk").alias("_rb"), *[F.col(c).alias("r_" + c) for c in cols])
+    left, right = _spread(left, right, key, partitions)
     j = left.join(right, [key, "_lb", "_rb"])
     lid, rid = F.col("l_" + id_col), F.col("r_" + id_col)
     j = j.where((F.col("_lb") < F.col("_rb")) | (lid < rid)).where(lid != rid)
@@ -49,7 +70,7 @@ def blocked_self_pairs(df: DataFrame, key: str, id_col: str, block_rows: int) ->
 
 
 def blocked_cross_pairs(left: DataFrame, right: DataFrame, key: str, id_col: str,
-                        block_rows: int) -> DataFrame:
+                        block_rows: int, partitions: int | None = None) -> DataFrame:
     """All pairs (l, r) of a left and a right row sharing ``key``.
 
     Columns come back prefixed ``l_`` / ``r_``. Both sides are blocked, so a
@@ -67,4 +88,5 @@ def blocked_cross_pairs(left: DataFrame, right: DataFrame, key: str, id_col: str
     rsel = rb.select(F.col(key), F.explode(F.sequence(F.lit(0), F.col("_nl") - 1)).alias("_lb"),
                      F.pmod(F.xxhash64(F.col(id_col)), F.col("_nr")).cast("int").alias("_rb"),
                      *[F.col(c).alias("r_" + c) for c in rcols])
+    lsel, rsel = _spread(lsel, rsel, key, partitions)
     return lsel.join(rsel, [key, "_lb", "_rb"]).drop("_lb", "_rb")

@@ -18,6 +18,7 @@ from textoverlap.config import Params
 from textoverlap.operators import edit_join, jaccard_join, scoring
 from textoverlap.operators.sentences import distinct_sentences, postings, sentence_counts, sentences
 from textoverlap.operators.shingles import set_arrays
+from textoverlap.session import materialize
 
 
 @dataclass
@@ -40,13 +41,13 @@ class Corpus:
 
 
 def edit_scores(c: Corpus, p: Params = Params()) -> DataFrame:
-    pairs = edit_join.similar_edit_pairs(c.distinct, p.sim_threshold, p.block_rows)
+    pairs = materialize(edit_join.similar_edit_pairs(c.distinct, p.sim_threshold, p.block_rows), "edit_pairs")
     counts = scoring.pair_counts_self(pairs, c.distinct.select("sid"), c.post, p.block_rows)
     return scoring.ratio_scores(counts, c.counts, c.counts, "edit")
 
 
 def lsh_scores(c: Corpus, p: Params = Params()) -> DataFrame:
-    pairs = jaccard_join.similar_jaccard_pairs(c.sets, p.sim_threshold, p.block_rows)
+    pairs = materialize(jaccard_join.similar_jaccard_pairs(c.sets, p.sim_threshold, p.block_rows), "jaccard_pairs")
     self_sim = c.sets.where(F.size("set") > 0).select("sid")
     counts = scoring.pair_counts_self(pairs, self_sim, c.post, p.block_rows)
     return scoring.ratio_scores(counts, c.counts, c.counts, "lsh")
@@ -62,9 +63,11 @@ def compare_corpus(docs: DataFrame, p: Params = Params()) -> DataFrame:
 def compare_corpora(left: DataFrame, right: DataFrame, p: Params = Params()) -> DataFrame:
     """Scores of (left document, right document) pairs with any similar pair."""
     a, b = Corpus.of(left, p.k), Corpus.of(right, p.k)
-    ep = edit_join.similar_edit_pairs_rs(a.distinct, b.distinct, p.sim_threshold, p.block_rows)
+    ep = materialize(edit_join.similar_edit_pairs_rs(a.distinct, b.distinct, p.sim_threshold, p.block_rows),
+                     "edit_pairs_rs")
     e = scoring.ratio_scores(scoring.pair_counts_rs(ep, a.post, b.post, p.block_rows), a.counts, b.counts, "edit")
-    jp = jaccard_join.similar_jaccard_pairs_rs(a.sets, b.sets, p.sim_threshold, p.block_rows)
+    jp = materialize(jaccard_join.similar_jaccard_pairs_rs(a.sets, b.sets, p.sim_threshold, p.block_rows),
+                     "jaccard_pairs_rs")
     ls = scoring.ratio_scores(scoring.pair_counts_rs(jp, a.post, b.post, p.block_rows), a.counts, b.counts, "lsh")
     return scoring.combine(ls, e, p.flag_threshold)
 

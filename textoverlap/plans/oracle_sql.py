@@ -133,25 +133,38 @@ _HN = ["h_" + n for n, _ in HIST_CLASSES] + ["h_na"]
 
 
 def _edit_pairs_cte(src: str = "sents", name: str = "edit_pairs", src_b: str | None = None) -> str:
-    """Brute force within the length window; a byte-class histogram bound
-    (exact) guards the Levenshtein call. src_b given: R x S, else self-join."""
+    """Brute force over pairs whose byte lengths lie in the same or adjacent
+    log-length buckets (a necessary condition for similarity >= T); a
+    byte-class histogram bound (exact) guards the Levenshtein call.
+    src_b given: R x S, else self-join."""
     l1 = " + ".join(f"abs(a.{h} - b.{h})" for h in _HN)
     oth = lambda s: f"({s}.n - (" + " + ".join(f"{s}.{h}" for h in _HN) + "))"
     l1 = f"{l1} + abs({oth('a')} - {oth('b')})"
     lmax = "greatest(a.n, b.n)"
     slack = f"({1 - T} * {lmax} + 1.0)"
-    dist_b = f"{name}_db" if src_b else f"{name}_d"
-    cond = "a.sid < b.sid AND " if not src_b else ""
-    ddl_b = (f",\n{name}_db AS (SELECT md5(text) AS sid, text, strlen(text) AS n, {_hist_cols()} "
-             f"FROM (SELECT DISTINCT text FROM {src_b}))") if src_b else ""
-    return f"""
-{name}_d AS (SELECT md5(text) AS sid, text, strlen(text) AS n, {_hist_cols()} FROM (SELECT DISTINCT text FROM {src})){ddl_b},
+    bucket = f"floor(ln(strlen(text)) / ln(1.0 / {T - 0.01}))::INT AS bucket"
+    feats = f"SELECT md5(text) AS sid, text, strlen(text) AS n, {bucket}, {_hist_cols()}"
+    pair_cols = f"""a.sid AS sid_a, b.sid AS sid_b, a.n AS len_a, b.n AS len_b,
+         CASE WHEN abs(a.n - b.n) <= {slack} AND ({l1} + abs(a.n - b.n)) / 2 <= {slack}
+              THEN levenshtein(a.text, b.text) ELSE -1 END AS distance"""
+    if src_b:
+        body = f"""
+{name}_db AS MATERIALIZED ({feats} FROM (SELECT DISTINCT text FROM {src_b})),
 {name}_c AS (
-  SELECT a.sid AS sid_a, b.sid AS sid_b, a.n AS len_a, b.n AS len_b,
-         CASE WHEN ({l1} + abs(a.n - b.n)) / 2 <= {slack} THEN levenshtein(a.text, b.text) ELSE -1 END AS distance
-  FROM {name}_d a JOIN {dist_b} b
-    ON {cond}b.n >= a.n * {T} - 1 AND b.n <= a.n / {T} + 1),
-{name} AS (
+  SELECT {pair_cols} FROM {name}_d a JOIN {name}_db b ON b.bucket = a.bucket
+  UNION ALL SELECT {pair_cols} FROM {name}_d a JOIN {name}_db b ON b.bucket = a.bucket + 1
+  UNION ALL SELECT {pair_cols} FROM {name}_d a JOIN {name}_db b ON b.bucket = a.bucket - 1)"""
+    else:
+        body = f"""
+{name}_c AS (
+  SELECT {pair_cols} FROM {name}_d a JOIN {name}_d b ON b.bucket = a.bucket AND a.sid < b.sid
+  UNION ALL
+  SELECT least(sid_a, sid_b), greatest(sid_a, sid_b), CASE WHEN sid_a < sid_b THEN len_a ELSE len_b END,
+         CASE WHEN sid_a < sid_b THEN len_b ELSE len_a END, distance
+  FROM (SELECT {pair_cols} FROM {name}_d a JOIN {name}_d b ON b.bucket = a.bucket + 1))"""
+    return f"""
+{name}_d AS MATERIALIZED ({feats} FROM (SELECT DISTINCT text FROM {src})),{body},
+{name} AS MATERIALIZED (
   SELECT sid_a, sid_b, len_a, len_b, distance, 1.0 - distance / greatest(len_a, len_b)::DOUBLE AS similarity
   FROM {name}_c WHERE distance >= 0 AND 1.0 - distance / greatest(len_a, len_b)::DOUBLE >= {T})"""
 
@@ -188,11 +201,12 @@ def _jaccard_pairs_cte(name: str = "jac_pairs", a: str = "sets", b: str | None =
   SELECT DISTINCT pa.sid AS sid_a, pb.sid AS sid_b, pa.n AS size_a, pb.n AS size_b
   FROM {name}_pa pa JOIN {name}_pb pb ON {cond}pa.code = pb.code
   WHERE least(pa.n, pb.n) >= greatest(pa.n, pb.n) * {T} - 1e-9),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT c.sid_a, c.sid_b, c.size_a, c.size_b, count(*) AS intersection,
          count(*) / (c.size_a + c.size_b - count(*))::DOUBLE AS jaccard
   FROM {name}_cand c JOIN {a}_tok ta ON ta.sid = c.sid_a JOIN {b}_tok tb ON tb.sid = c.sid_b AND tb.code = ta.code
-  GROUP BY ALL HAVING count(*) / (c.size_a + c.size_b - count(*))::DOUBLE >= {T})"""
+  GROUP BY c.sid_a, c.sid_b, c.size_a, c.size_b
+  HAVING count(*) / (c.size_a + c.size_b - count(*))::DOUBLE >= {T})"""
 
 
 SIMILAR_JACCARD_PAIRS = q("SELECT * FROM jac_pairs", sentences_cte(), _sets_cte(), _jaccard_pairs_cte())
@@ -201,19 +215,19 @@ SIMILAR_JACCARD_PAIRS = q("SELECT * FROM jac_pairs", sentences_cte(), _sets_cte(
 # --- document scores ---------------------------------------------------------
 
 _POST = """
-post AS (SELECT md5(text) AS sid, doc_id, count(*) AS mult FROM sents GROUP BY ALL),
-ndoc AS (SELECT doc_id, coalesce(len(arr), 0) AS n FROM sents_arr)"""
+post AS MATERIALIZED (SELECT md5(text) AS sid, doc_id, count(*) AS mult FROM sents GROUP BY ALL),
+ndoc AS MATERIALIZED (SELECT doc_id, coalesce(len(arr), 0) AS n FROM sents_arr)"""
 
 
 def _pair_scores(name: str, pairs: str, self_sids: str) -> str:
     return f"""
 {name}_e AS (SELECT sid_a AS x, sid_b AS y FROM {pairs} UNION ALL SELECT sid_b, sid_a FROM {pairs}
              UNION ALL SELECT sid, sid FROM ({self_sids})),
-{name}_cnt AS (
+{name}_cnt AS MATERIALIZED (
   SELECT p1.doc_id AS doc1, p2.doc_id AS doc2, sum(p1.mult * p2.mult) AS similar_pairs
   FROM {name}_e e JOIN post p1 ON p1.sid = e.x JOIN post p2 ON p2.sid = e.y
   WHERE p1.doc_id < p2.doc_id GROUP BY ALL),
-{name}_scores AS (
+{name}_scores AS MATERIALIZED (
   SELECT c.doc1, c.doc2, a.n AS n1, b.n AS n2, c.similar_pairs AS {name}_pairs,
          c.similar_pairs / (a.n::BIGINT * b.n)::DOUBLE AS {name}_similarity
   FROM {name}_cnt c JOIN ndoc a ON a.doc_id = c.doc1 JOIN ndoc b ON b.doc_id = c.doc2)"""
@@ -248,10 +262,10 @@ FROM combined""", *_ALL_SCORES)
 
 def _rs_scores(name: str, pairs: str) -> str:
     return f"""
-{name}_cnt AS (
+{name}_cnt AS MATERIALIZED (
   SELECT p1.doc_id AS doc1, p2.doc_id AS doc2, sum(p1.mult * p2.mult) AS similar_pairs
   FROM {pairs} e JOIN post p1 ON p1.sid = e.sid_a JOIN post_b p2 ON p2.sid = e.sid_b GROUP BY ALL),
-{name}_scores AS (
+{name}_scores AS MATERIALIZED (
   SELECT c.doc1, c.doc2, a.n AS n1, b.n AS n2, c.similar_pairs AS {name}_pairs,
          c.similar_pairs / (a.n::BIGINT * b.n)::DOUBLE AS {name}_similarity
   FROM {name}_cnt c JOIN ndoc a ON a.doc_id = c.doc1 JOIN ndoc_b b ON b.doc_id = c.doc2)"""
@@ -274,11 +288,14 @@ def signature_similarity(num_perm: int, seed: int) -> str:
 dmembers AS (
   SELECT DISTINCT md5(w.text) AS sid, v.vid FROM (SELECT s.text, w.code FROM set_weighted w
     JOIN sents s USING (doc_id, pos)) w JOIN vocab v USING (code))"""
-    return q(f"""SELECT p.sid_a, p.sid_b,
-  sum(a.vid * b.vid) / (sqrt(any_value(na.sq)::DOUBLE) * sqrt(any_value(nb.sq)::DOUBLE)) AS cosine,
-  sum((a.vid = b.vid)::INT) / {num_perm}.0 AS agreement
-FROM jac_pairs p JOIN sig a ON a.sid = p.sid_a JOIN sig b ON b.sid = p.sid_b AND b.j = a.j
-JOIN (SELECT sid, sum(vid * vid) AS sq FROM sig GROUP BY sid) na ON na.sid = p.sid_a
-JOIN (SELECT sid, sum(vid * vid) AS sq FROM sig GROUP BY sid) nb ON nb.sid = p.sid_b
-GROUP BY ALL""", sentences_cte(), shingles_cte(), _SET_WEIGHTED, _VOCAB, members, _perms_cte(num_perm, seed),
-             _sig_cte(num_perm, seed, "dmembers", "sid"), _sets_cte(), _jaccard_pairs_cte())
+    pairs = f"""
+sq AS MATERIALIZED (SELECT sid, sum(vid * vid) AS sq FROM sig GROUP BY sid),
+pa AS MATERIALIZED (SELECT p.sid_a, p.sid_b, a.j, a.vid AS va FROM jac_pairs p JOIN sig a ON a.sid = p.sid_a),
+pab AS MATERIALIZED (SELECT pa.sid_a, pa.sid_b, pa.va, b.vid AS vb FROM pa JOIN sig b ON b.sid = pa.sid_b AND b.j = pa.j),
+dots AS (SELECT sid_a, sid_b, sum(va * vb) AS dot, sum((va = vb)::INT) AS eq FROM pab GROUP BY sid_a, sid_b)"""
+    return q(f"""SELECT d.sid_a, d.sid_b, d.dot / (sqrt(na.sq::DOUBLE) * sqrt(nb.sq::DOUBLE)) AS cosine,
+  d.eq / {num_perm}.0 AS agreement
+FROM dots d JOIN sq na ON na.sid = d.sid_a JOIN sq nb ON nb.sid = d.sid_b""",
+             sentences_cte(), shingles_cte(), _SET_WEIGHTED, _VOCAB, members, _perms_cte(num_perm, seed),
+             _sig_cte(num_perm, seed, "dmembers", "sid").replace("sig AS (", "sig AS MATERIALIZED ("),
+             _sets_cte(), _jaccard_pairs_cte(), pairs)
