@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textoverlap.config import Params
-from textoverlap.operators import edit_join, jaccard_join, scoring
+from textoverlap.operators import banded_join, edit_join, jaccard_join, scoring
 from textoverlap.operators.sentences import distinct_sentences, postings, sentence_counts, sentences
 from textoverlap.operators.shingles import set_arrays
 from textoverlap.session import materialize
@@ -40,24 +40,48 @@ class Corpus:
         return cls(docs, sents, distinct, postings(sents), sentence_counts(docs), sets)
 
 
-def edit_scores(c: Corpus, p: Params = Params()) -> DataFrame:
-    pairs = materialize(edit_join.similar_edit_pairs(c.distinct, p.sim_threshold, p.block_rows), "edit_pairs")
+def edit_pairs(c: Corpus, p: Params = Params(), method: str = "exact") -> DataFrame:
+    """Edit-similar distinct sentence pairs: ``exact`` (length-bucketed join,
+    complete) or ``banded`` (MinHash LSH candidates, verified, may miss pairs)."""
+    if method == "exact":
+        return edit_join.similar_edit_pairs(c.distinct, p.sim_threshold, p.block_rows)
+    if method == "banded":
+        return banded_join.similar_edit_pairs_banded(c.distinct, c.sets, p.sim_threshold, p.num_perm, p.seed,
+                                                     p.bands, p.rows, p.block_rows)
+    raise ValueError(method)
+
+
+def edit_scores(c: Corpus, p: Params = Params(), method: str = "exact") -> DataFrame:
+    pairs = materialize(edit_pairs(c, p, method), "edit_pairs")
     counts = scoring.pair_counts_self(pairs, c.distinct.select("sid"), c.post, p.block_rows)
     return scoring.ratio_scores(counts, c.counts, c.counts, "edit")
 
 
-def lsh_scores(c: Corpus, p: Params = Params()) -> DataFrame:
-    pairs = materialize(jaccard_join.similar_jaccard_pairs(c.sets, p.sim_threshold, p.block_rows), "jaccard_pairs")
+def jaccard_pairs(c: Corpus, p: Params = Params(), method: str = "exact") -> DataFrame:
+    """Jaccard-similar distinct sentence pairs: ``exact`` (prefix-filter join)
+    or ``banded`` (MinHash LSH candidates, verified)."""
+    if method == "exact":
+        return jaccard_join.similar_jaccard_pairs(c.sets, p.sim_threshold, p.block_rows)
+    if method == "banded":
+        return banded_join.similar_jaccard_pairs_banded(c.sets, p.sim_threshold, p.num_perm, p.seed,
+                                                        p.bands, p.rows, p.block_rows)
+    raise ValueError(method)
+
+
+def lsh_scores(c: Corpus, p: Params = Params(), method: str = "exact") -> DataFrame:
+    pairs = materialize(jaccard_pairs(c, p, method), "jaccard_pairs")
     self_sim = c.sets.where(F.size("set") > 0).select("sid")
     counts = scoring.pair_counts_self(pairs, self_sim, c.post, p.block_rows)
     return scoring.ratio_scores(counts, c.counts, c.counts, "lsh")
 
 
-def compare_corpus(docs: DataFrame, p: Params = Params()) -> DataFrame:
+def compare_corpus(docs: DataFrame, p: Params = Params(), method: str = "exact") -> DataFrame:
     """``(doc1, doc2, n1, n2, lsh_similarity, edit_similarity,
-    overall_similarity, flagged)`` for doc1 < doc2 with any similar pair."""
+    overall_similarity, flagged)`` for doc1 < doc2 with any similar pair.
+
+    ``method`` picks the edit-pair join (see ``edit_pairs``)."""
     c = Corpus.of(docs, p.k)
-    return scoring.combine(lsh_scores(c, p), edit_scores(c, p), p.flag_threshold)
+    return scoring.combine(lsh_scores(c, p, method), edit_scores(c, p, method), p.flag_threshold)
 
 
 def compare_corpora(left: DataFrame, right: DataFrame, p: Params = Params()) -> DataFrame:

@@ -299,3 +299,55 @@ FROM dots d JOIN sq na ON na.sid = d.sid_a JOIN sq nb ON nb.sid = d.sid_b""",
              sentences_cte(), shingles_cte(), _SET_WEIGHTED, _VOCAB, members, _perms_cte(num_perm, seed),
              _sig_cte(num_perm, seed, "dmembers", "sid").replace("sig AS (", "sig AS MATERIALIZED ("),
              _sets_cte(), _jaccard_pairs_cte(), pairs)
+
+
+# --- banded MinHash LSH ---------------------------------------------------------
+
+def _band_pairs_cte(num_perm: int, seed: int, bands: int, rows: int, name: str = "band_pairs") -> str:
+    """Signatures over shingle codes, bands of ``rows`` values, equality join
+    per band, then the exact edit-similarity test on the candidates."""
+    return f"""
+bsig AS MATERIALIZED (
+  SELECT sid, j, min((((a * code + b) % {PERM_PRIME}) << {VID_BITS}) + code) & {(1 << VID_BITS) - 1} AS code
+  FROM sets_tok CROSS JOIN perms GROUP BY sid, j),
+bandv AS MATERIALIZED (
+  SELECT sid, (j - 1) // {rows} AS band, list(code ORDER BY j) AS vals FROM bsig WHERE j <= {bands * rows}
+  GROUP BY sid, (j - 1) // {rows}),
+bcand AS MATERIALIZED (
+  SELECT DISTINCT a.sid AS sid_a, b.sid AS sid_b FROM bandv a JOIN bandv b
+    ON a.band = b.band AND a.vals = b.vals AND a.sid < b.sid),
+btext AS MATERIALIZED (SELECT DISTINCT md5(text) AS sid, text, strlen(text) AS n FROM sents),
+{name}_c AS (
+  SELECT c.sid_a, c.sid_b, ta.n AS len_a, tb.n AS len_b, levenshtein(ta.text, tb.text) AS distance
+  FROM bcand c JOIN btext ta ON ta.sid = c.sid_a JOIN btext tb ON tb.sid = c.sid_b),
+{name} AS MATERIALIZED (
+  SELECT sid_a, sid_b, len_a, len_b, distance, 1.0 - distance / greatest(len_a, len_b)::DOUBLE AS similarity
+  FROM {name}_c WHERE 1.0 - distance / greatest(len_a, len_b)::DOUBLE >= {T})"""
+
+
+_BAND_JACCARD = f"""
+band_jac AS MATERIALIZED (
+  SELECT c.sid_a, c.sid_b, sa.n AS size_a, sb.n AS size_b, count(*) AS intersection,
+         count(*) / (sa.n + sb.n - count(*))::DOUBLE AS jaccard
+  FROM bcand c JOIN sets sa ON sa.sid = c.sid_a JOIN sets sb ON sb.sid = c.sid_b
+  JOIN sets_tok ta ON ta.sid = c.sid_a JOIN sets_tok tb ON tb.sid = c.sid_b AND tb.code = ta.code
+  GROUP BY c.sid_a, c.sid_b, sa.n, sb.n
+  HAVING count(*) / (sa.n + sb.n - count(*))::DOUBLE >= {T})"""
+
+
+def lsh_jaccard_pairs(num_perm: int, seed: int, bands: int, rows: int) -> str:
+    return q("SELECT * FROM band_jac", sentences_cte(), _sets_cte(), _perms_cte(num_perm, seed),
+             _band_pairs_cte(num_perm, seed, bands, rows), _BAND_JACCARD)
+
+
+def lsh_edit_pairs(num_perm: int, seed: int, bands: int, rows: int) -> str:
+    return q("SELECT * FROM band_pairs", sentences_cte(), _sets_cte(), _perms_cte(num_perm, seed),
+             _band_pairs_cte(num_perm, seed, bands, rows))
+
+
+def doc_scores_banded(num_perm: int, seed: int, bands: int, rows: int) -> str:
+    edit = _pair_scores("edit", "band_pairs", "SELECT DISTINCT md5(text) AS sid FROM sents")
+    return q("SELECT *, overall_similarity >= 0.5 AS flagged FROM combined",
+             sentences_cte(), _POST, _sets_cte(), _perms_cte(num_perm, seed),
+             _band_pairs_cte(num_perm, seed, bands, rows), edit, _BAND_JACCARD,
+             _pair_scores("lsh", "band_jac", "SELECT sid FROM sets"), _COMBINED)

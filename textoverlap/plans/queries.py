@@ -167,6 +167,20 @@ def q_doc_report(spark, sf):
                     verdict(F.col("flagged")).alias("verdict"))
 
 
+def q_lsh_edit_pairs(spark, sf):
+    c = jobs.Corpus.of(_docs(spark, sf), P.k)
+    return jobs.edit_pairs(c, P, "banded")
+
+
+def q_lsh_jaccard_pairs(spark, sf):
+    c = jobs.Corpus.of(_docs(spark, sf), P.k)
+    return jobs.jaccard_pairs(c, P, "banded")
+
+
+def q_doc_scores_banded(spark, sf):
+    return jobs.compare_corpus(_docs(spark, sf), P, "banded")
+
+
 def q_cross_corpus(spark, sf):
     right = read_documents(spark, sf, "benchmark", id_col="item_id")
     return jobs.compare_corpora(_docs(spark, sf), right, P)
@@ -197,6 +211,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagged_documents": q_flagged_documents,
     "doc_report": q_doc_report,
     "cross_corpus": q_cross_corpus,
+    "lsh_edit_pairs": q_lsh_edit_pairs,
+    "lsh_jaccard_pairs": q_lsh_jaccard_pairs,
+    "doc_scores_banded": q_doc_scores_banded,
 }
 
 ORACLES: dict[str, str] = {
@@ -224,4 +241,7 @@ ORACLES: dict[str, str] = {
     "flagged_documents": osql.FLAGGED_DOCUMENTS,
     "doc_report": osql.DOC_REPORT,
     "cross_corpus": osql.CROSS_CORPUS,
+    "lsh_edit_pairs": osql.lsh_edit_pairs(P.num_perm, P.seed, P.bands, P.rows),
+    "lsh_jaccard_pairs": osql.lsh_jaccard_pairs(P.num_perm, P.seed, P.bands, P.rows),
+    "doc_scores_banded": osql.doc_scores_banded(P.num_perm, P.seed, P.bands, P.rows),
 }

@@ -16,11 +16,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, key: str = "doc_id", factor: int = 2) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when its scan has fewer splits than the
+    cluster has cores.
+
+    A small corpus stored in one file/row group scans as a single partition,
+    and the per-document work after it (sentence split, shingles) would run
+    in one task. A large corpus already scans as many splits and is left
+    as it is: no shuffle of the raw text at scale.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
+
+
 def read_documents(spark: SparkSession, sf_dir: str, table: str = "documents",
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text)`` from a parquet table; other columns are pruned at the scan."""
-    return read_table(spark, sf_dir, table).select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    d = read_table(spark, sf_dir, table).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return spread(d)
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
