@@ -48,10 +48,11 @@ def ranked_set(rows: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
     return rows.select(*keys, F.row_number().over(w).alias("rank"), "code", code_hex(F.col("code"), k).alias("shingle"))
 
 
-def set_arrays(df: DataFrame, key: str, k: int = 3, kind: str = "exact") -> DataFrame:
-    """``(key, set)``: sorted array of member codes, sentences with >= k bytes only."""
-    rows = set_rows(shingles(df, [key], k), [key], kind)
-    return rows.groupBy(key).agg(F.sort_array(F.collect_list("code")).alias("set"))
+def set_arrays(df: DataFrame, keys: list[str], k: int = 3, kind: str = "exact") -> DataFrame:
+    """``(*keys, set)``: sorted array of member codes, sentences with >= k bytes
+    only. Extra key columns that depend on the first (e.g. a length) ride along."""
+    rows = set_rows(shingles(df, keys, k), keys, kind)
+    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list("code")).alias("set"))
 
 
 def shingle_stats(df: DataFrame, keys: list[str], k: int = 3) -> DataFrame:

@@ -36,7 +36,7 @@ class Corpus:
     def of(cls, docs: DataFrame, k: int = 3) -> "Corpus":
         sents = sentences(docs)
         distinct = distinct_sentences(sents)
-        sets = set_arrays(distinct, "sid", k, "exact")
+        sets = set_arrays(distinct, ["sid", "n_bytes"], k, "exact")
         return cls(docs, sents, distinct, postings(sents), sentence_counts(docs), sets)
 
 
@@ -79,8 +79,20 @@ def compare_corpus(docs: DataFrame, p: Params = Params(), method: str = "exact")
     """``(doc1, doc2, n1, n2, lsh_similarity, edit_similarity,
     overall_similarity, flagged)`` for doc1 < doc2 with any similar pair.
 
-    ``method`` picks the edit-pair join (see ``edit_pairs``)."""
+    ``method``: ``exact`` joins, or ``banded`` MinHash LSH candidates computed
+    once, written to the checkpoint folder and verified both ways."""
     c = Corpus.of(docs, p.k)
+    if method == "banded":
+        cand = materialize(banded_join.candidates(c.sets, p.num_perm, p.seed, p.bands, p.rows, p.block_rows,
+                                                  p.sim_threshold), "lsh_candidates")
+        ep = materialize(banded_join.verify_edit(cand, c.distinct, p.sim_threshold), "edit_pairs")
+        jp = materialize(banded_join.verify_jaccard(cand, c.sets, p.sim_threshold), "jaccard_pairs")
+        e = scoring.ratio_scores(scoring.pair_counts_self(ep, c.distinct.select("sid"), c.post, p.block_rows),
+                                 c.counts, c.counts, "edit")
+        self_sim = c.sets.where(F.size("set") > 0).select("sid")
+        ls = scoring.ratio_scores(scoring.pair_counts_self(jp, self_sim, c.post, p.block_rows),
+                                  c.counts, c.counts, "lsh")
+        return scoring.combine(ls, e, p.flag_threshold)
     return scoring.combine(lsh_scores(c, p, method), edit_scores(c, p, method), p.flag_threshold)
 
 
