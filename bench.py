@@ -31,7 +31,6 @@ HEADLINE = [
     "vocabulary",
     "minhash_dense",
     "lsh_jaccard_pairs",
-    "lsh_edit_pairs",
     "doc_scores_banded",
 ]
 

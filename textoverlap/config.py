@@ -44,9 +44,10 @@ class Params:
     # MinHash signature length and seed (the original is unseeded).
     num_perm: int = 64
     seed: int = 20240601
-    # LSH banding for approximate candidate generation (bands * rows <= num_perm).
-    bands: int = 16
-    rows: int = 4
+    # LSH banding for approximate candidate generation; its signature has
+    # bands * rows permutations (seeded like the dense vectors).
+    bands: int = 20
+    rows: int = 5
     # Target number of rows per block in blocked pair joins: each join task
     # compares at most block_rows**2 pairs, whatever the key skew.
     block_rows: int = 2048

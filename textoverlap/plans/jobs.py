@@ -46,7 +46,7 @@ def edit_pairs(c: Corpus, p: Params = Params(), method: str = "exact") -> DataFr
     if method == "exact":
         return edit_join.similar_edit_pairs(c.distinct, p.sim_threshold, p.block_rows)
     if method == "banded":
-        return banded_join.similar_edit_pairs_banded(c.distinct, c.sets, p.sim_threshold, p.num_perm, p.seed,
+        return banded_join.similar_edit_pairs_banded(c.distinct, c.sets, p.sim_threshold, p.bands * p.rows, p.seed,
                                                      p.bands, p.rows, p.block_rows)
     raise ValueError(method)
 
@@ -63,7 +63,7 @@ def jaccard_pairs(c: Corpus, p: Params = Params(), method: str = "exact") -> Dat
     if method == "exact":
         return jaccard_join.similar_jaccard_pairs(c.sets, p.sim_threshold, p.block_rows)
     if method == "banded":
-        return banded_join.similar_jaccard_pairs_banded(c.sets, p.sim_threshold, p.num_perm, p.seed,
+        return banded_join.similar_jaccard_pairs_banded(c.sets, p.sim_threshold, p.bands * p.rows, p.seed,
                                                         p.bands, p.rows, p.block_rows)
     raise ValueError(method)
 
@@ -83,7 +83,7 @@ def compare_corpus(docs: DataFrame, p: Params = Params(), method: str = "exact")
     once, written to the checkpoint folder and verified both ways."""
     c = Corpus.of(docs, p.k)
     if method == "banded":
-        cand = materialize(banded_join.candidates(c.sets, p.num_perm, p.seed, p.bands, p.rows, p.block_rows,
+        cand = materialize(banded_join.candidates(c.sets, p.bands * p.rows, p.seed, p.bands, p.rows, p.block_rows,
                                                   p.sim_threshold), "lsh_candidates")
         ep = materialize(banded_join.verify_edit(cand, c.distinct, p.sim_threshold), "edit_pairs")
         jp = materialize(banded_join.verify_jaccard(cand, c.sets, p.sim_threshold), "jaccard_pairs")

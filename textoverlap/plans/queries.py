@@ -241,7 +241,7 @@ ORACLES: dict[str, str] = {
     "flagged_documents": osql.FLAGGED_DOCUMENTS,
     "doc_report": osql.DOC_REPORT,
     "cross_corpus": osql.CROSS_CORPUS,
-    "lsh_edit_pairs": osql.lsh_edit_pairs(P.num_perm, P.seed, P.bands, P.rows),
-    "lsh_jaccard_pairs": osql.lsh_jaccard_pairs(P.num_perm, P.seed, P.bands, P.rows),
-    "doc_scores_banded": osql.doc_scores_banded(P.num_perm, P.seed, P.bands, P.rows),
+    "lsh_edit_pairs": osql.lsh_edit_pairs(P.bands * P.rows, P.seed, P.bands, P.rows),
+    "lsh_jaccard_pairs": osql.lsh_jaccard_pairs(P.bands * P.rows, P.seed, P.bands, P.rows),
+    "doc_scores_banded": osql.doc_scores_banded(P.bands * P.rows, P.seed, P.bands, P.rows),
 }
