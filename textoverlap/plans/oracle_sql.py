@@ -189,24 +189,26 @@ def _jaccard_pairs_cte(name: str = "jac_pairs", a: str = "sets", b: str | None =
     cond = "pa.sid < pb.sid AND " if self_join else ""
     return f"""
 {name}_df AS (SELECT code, count(*) AS df FROM ({freq_src}) GROUP BY code),
-{name}_pa AS (
-  SELECT t.sid, t.code, s.n FROM (SELECT t.*, row_number() OVER (PARTITION BY t.sid ORDER BY f.df, t.code) AS r
+{name}_pa AS MATERIALIZED (
+  SELECT t.sid, t.code, s.n, t.r FROM (SELECT t.*, row_number() OVER (PARTITION BY t.sid ORDER BY f.df, t.code) AS r
      FROM {a}_tok t JOIN {name}_df f USING (code)) t JOIN {a} s USING (sid)
   WHERE r <= s.n - ceil(s.n * {T} - 1e-9) + 1),
-{name}_pb AS (
-  SELECT t.sid, t.code, s.n FROM (SELECT t.*, row_number() OVER (PARTITION BY t.sid ORDER BY f.df, t.code) AS r
+{name}_pb AS MATERIALIZED (
+  SELECT t.sid, t.code, s.n, t.r FROM (SELECT t.*, row_number() OVER (PARTITION BY t.sid ORDER BY f.df, t.code) AS r
      FROM {b}_tok t JOIN {name}_df f USING (code)) t JOIN {b} s USING (sid)
   WHERE r <= s.n - ceil(s.n * {T} - 1e-9) + 1),
-{name}_cand AS (
+{name}_cand AS MATERIALIZED (
   SELECT DISTINCT pa.sid AS sid_a, pb.sid AS sid_b, pa.n AS size_a, pb.n AS size_b
   FROM {name}_pa pa JOIN {name}_pb pb ON {cond}pa.code = pb.code
-  WHERE least(pa.n, pb.n) >= greatest(pa.n, pb.n) * {T} - 1e-9),
+  WHERE least(pa.n, pb.n) >= greatest(pa.n, pb.n) * {T} - 1e-9
+    AND 1 + least(pa.n - pa.r, pb.n - pb.r) >= {T / (1 + T)} * (pa.n + pb.n) - 1e-9),
+{name}_la AS MATERIALIZED (SELECT sid, list(code) AS toks FROM {a}_tok GROUP BY sid),
+{name}_lb AS MATERIALIZED (SELECT sid, list(code) AS toks FROM {b}_tok GROUP BY sid),
 {name} AS MATERIALIZED (
-  SELECT c.sid_a, c.sid_b, c.size_a, c.size_b, count(*) AS intersection,
-         count(*) / (c.size_a + c.size_b - count(*))::DOUBLE AS jaccard
-  FROM {name}_cand c JOIN {a}_tok ta ON ta.sid = c.sid_a JOIN {b}_tok tb ON tb.sid = c.sid_b AND tb.code = ta.code
-  GROUP BY c.sid_a, c.sid_b, c.size_a, c.size_b
-  HAVING count(*) / (c.size_a + c.size_b - count(*))::DOUBLE >= {T})"""
+  SELECT sid_a, sid_b, size_a, size_b, intersection, intersection / (size_a + size_b - intersection)::DOUBLE AS jaccard
+  FROM (SELECT c.sid_a, c.sid_b, c.size_a, c.size_b, len(list_intersect(la.toks, lb.toks)) AS intersection
+        FROM {name}_cand c JOIN {name}_la la ON la.sid = c.sid_a JOIN {name}_lb lb ON lb.sid = c.sid_b)
+  WHERE intersection / (size_a + size_b - intersection)::DOUBLE >= {T})"""
 
 
 SIMILAR_JACCARD_PAIRS = q("SELECT * FROM jac_pairs", sentences_cte(), _sets_cte(), _jaccard_pairs_cte())
@@ -223,10 +225,12 @@ def _pair_scores(name: str, pairs: str, self_sids: str) -> str:
     return f"""
 {name}_e AS (SELECT sid_a AS x, sid_b AS y FROM {pairs} UNION ALL SELECT sid_b, sid_a FROM {pairs}
              UNION ALL SELECT sid, sid FROM ({self_sids})),
+{name}_e1 AS MATERIALIZED (
+  SELECT e.y, p1.doc_id AS doc1, p1.mult AS m1 FROM {name}_e e JOIN post p1 ON p1.sid = e.x),
 {name}_cnt AS MATERIALIZED (
-  SELECT p1.doc_id AS doc1, p2.doc_id AS doc2, sum(p1.mult * p2.mult) AS similar_pairs
-  FROM {name}_e e JOIN post p1 ON p1.sid = e.x JOIN post p2 ON p2.sid = e.y
-  WHERE p1.doc_id < p2.doc_id GROUP BY ALL),
+  SELECT e1.doc1, p2.doc_id AS doc2, sum(e1.m1 * p2.mult) AS similar_pairs
+  FROM {name}_e1 e1 JOIN post p2 ON p2.sid = e1.y
+  WHERE e1.doc1 < p2.doc_id GROUP BY e1.doc1, p2.doc_id),
 {name}_scores AS MATERIALIZED (
   SELECT c.doc1, c.doc2, a.n AS n1, b.n AS n2, c.similar_pairs AS {name}_pairs,
          c.similar_pairs / (a.n::BIGINT * b.n)::DOUBLE AS {name}_similarity
