@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,26 +33,41 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as given. Only
-    when it is unset (local tests) a private scratch folder is created.
+    The setting is used as given; on a cluster it names storage that every
+    executor sees. A private scratch folder stands in only when it is unset
+    and driver and executors are one process (local mode, as in tests).
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="textoverlap-ckpt-")
+    named = sc.getConf().get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+        if not named:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            named = tempfile.mkdtemp(prefix="textoverlap-ckpt-")
+        sc.setCheckpointDir(named)
+    return named or sc.getCheckpointDir()
+
+
+def tables_dir(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables."""
+    return os.path.join(checkpoint_dir(spark), "tables-" + spark.sparkContext.applicationId)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor re-reads the table instead of re-running
-    the upstream joins) and lets several downstream joins share one scan.
+    the upstream joins) and lets several downstream joins share one scan. Each
+    call has a path of its own, which nothing writes again.
     """
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, "tables", f"{name}-{os.getpid()}-{id(df):x}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = os.path.join(tables_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once no frame over them is used any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
