@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "textoverlap", driver_memory: str | None = None) -> SparkSession:
@@ -18,6 +21,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if driver_memory:
         b = b.config("spark.driver.memory", driver_memory)
     b = (b.config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -27,9 +31,28 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # the driver serves this file to executors for as long as the application runs
+    path = os.path.join(tempfile.mkdtemp(prefix="textoverlap-"), "textoverlap.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    f = os.path.join(at, n)
+                    z.write(f, os.path.relpath(f, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
