@@ -84,6 +84,7 @@ class Items:
         size = np.concatenate([np.full(len(s), m) for s, m in parts]) if parts else np.zeros(0, dtype=np.int64)
         order = np.argsort(every, kind="stable")
         self.shingles, self.sizes = every[order], size[order]
+        self.lengths = sorted({min(shingle, m) for m in self.by_size} | {shingle})
 
     def candidates(self, m: int, fp: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(window, item, distance) of all window fingerprints and items of m words within the radius."""
@@ -102,12 +103,13 @@ class Items:
         n = hi - lo
         for m in np.unique(size).tolist():
             width = min(m, n)
-            many = max(1, width - self.shingle + 1)  # shingles in a window
+            length = min(self.shingle, width)
+            many = width - length + 1  # shingles in a window
             place = np.unique(at[size == m])
             start = np.unique(np.clip(place[:, None] - np.arange(many), 0, n - width))
             base = int(start[0])
             k = np.arange(base, int(start[-1]) + many)
-            s = spans_hash(pre, lo + k, np.minimum(lo + k + self.shingle, lo + n))
+            s = spans_hash(pre, lo + k, lo + k + length)
             fp = _fingerprints(s, start - base, start - base + many)
             best: dict[int, tuple] = {}
             found = self.by_size[m][2]
@@ -152,10 +154,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, keys: list[Column], schema: s
                     starts, ends, woff = words(buf, off)
                     pre = prefix(word_hashes(buf, starts, ends))
                     doc = np.repeat(np.arange(hi - lo), np.diff(woff))
-                    # a shingle starts at every word that has enough after it, and at the first word of short texts
-                    at = np.arange(len(starts))
-                    at = at[(at + shingle <= woff[doc + 1]) | (at == woff[doc])]
-                    s = spans_hash(pre, at, np.minimum(at + shingle, woff[doc[at] + 1]))
+                    # shingles at every word that has enough after it, and the whole of short texts; items of fewer
+                    # words than a shingle have shingles of their own size
+                    every = [(np.arange(len(starts)), size) for size in items.lengths]
+                    every = [(at[at + size <= woff[doc[at] + 1]], size) for at, size in every]
+                    short = np.flatnonzero(np.diff(woff) < shingle)
+                    short = short[np.diff(woff)[short] > 0]
+                    at = np.concatenate([*(at for at, _ in every), woff[short]])
+                    s = spans_hash(pre, at, np.concatenate([*(at + size for at, size in every), woff[short + 1]]))
                     left = np.searchsorted(items.shingles, s, side="left")
                     shared = np.flatnonzero(items.shingles[np.minimum(left, len(items.shingles) - 1)] == s)
                     if not len(shared):

@@ -232,7 +232,7 @@ def _pairs(train: DataFrame, folder: str, pieces: int, vocabulary: Vocabulary, h
         seconds = []
         for b, key, n in _by_bucket(batches):
             _save(f"{folder}/p{b}.npy", key)
-            _save(f"{folder}/n{b}.npy", n)
+            _save(f"{folder}/n{b}.npy", n.astype(np.min_scalar_type(int(n.max()))))
             first = key >> np.uint64(32)
             at = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
             yield stats(0, first[at].view(np.int64), *(np.add.reduceat(x.astype(np.int64), at) for x in (n == 1, n == 2, n > 2)))

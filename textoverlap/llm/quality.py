@@ -77,6 +77,9 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     covered = F.size(F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(*[x["i"] + j for j in range(WINDOW)])))))
     repeat = F.when(F.col("again").isNull(), 0).otherwise(covered)
     base = base.withColumn("n_repeat_words", repeat).drop("again")
+    # one row from one row, so that filters on the statistics stay above: pushed down, they would compute the arrays anew
+    # for every element
+    base = base.select("row", "doc_id", F.inline(F.array(F.struct(*[c for c in base.columns if c not in ("row", "doc_id")]))))
     per_word = lambda c: F.when(F.col("n") > 0, F.col(c) / F.col("n"))
     per_char = lambda c: F.when(F.col("word_chars") > 0, F.col(c) / F.col("word_chars"))
     some = lambda c: F.when(F.col("n") > 0, c)
@@ -115,13 +118,12 @@ class LabelModel:
     right_good: tuple[float, ...] = (0.9,) * len(RULES)
     right_bad: tuple[float, ...] = (0.9,) * len(RULES)
 
-    def posterior(self, vote: Column) -> Column:
-        log_odds = F.log(F.lit(self.good)) - F.log(F.lit(1 - self.good))
+    def posterior(self, votes: str = "votes") -> str:
+        """SQL expression of the posterior of an array of votes."""
+        odds = [f"ln({self.good!r}D / {1 - self.good!r}D)"]
         for j, (g, b) in enumerate(zip(self.right_good, self.right_bad)):
-            v = F.get(vote, F.lit(j))
-            log_odds = log_odds + F.when(v == 1, F.log(F.lit(g)) - F.log(F.lit(1 - b))).when(
-                v == -1, F.log(F.lit(1 - g)) - F.log(F.lit(b))).otherwise(0.0)
-        return 1.0 / (1.0 + F.exp(-log_odds))
+            odds.append(f"CASE get({votes}, {j}) WHEN 1 THEN ln({g!r}D / {1 - b!r}D) WHEN -1 THEN ln({1 - g!r}D / {b!r}D) ELSE 0D END")
+        return f"(1D / (1D + exp(-({' + '.join(odds)}))))"
 
 
 def fit(voted: DataFrame, rounds: int = ROUNDS) -> LabelModel:
@@ -129,15 +131,13 @@ def fit(voted: DataFrame, rounds: int = ROUNDS) -> LabelModel:
     table = voted.where(~F.col("base_failed")).groupBy("votes").agg(F.count(F.lit(1)).alias("n"))
     table = materialize(table.coalesce(1), "votes")  # at most 3 ** rules rows
     model = LabelModel()
+    sums = ["sum(n) AS n", "sum(n * q) AS good"]
+    for j in range(len(RULES)):
+        v = f"get(votes, {j})"
+        sums += [f"sum(n * q) FILTER (WHERE {v} = 1) AS gg{j}", f"sum(n * q) FILTER (WHERE {v} <> 0) AS g{j}",
+                 f"sum(n * (1D - q)) FILTER (WHERE {v} = -1) AS bb{j}", f"sum(n * (1D - q)) FILTER (WHERE {v} <> 0) AS b{j}"]
     for _ in range(rounds):
-        q = table.withColumn("q", model.posterior(F.col("votes")))
-        good, bad = F.col("n") * F.col("q"), F.col("n") * (1.0 - F.col("q"))
-        sums = [F.sum("n").alias("n"), F.sum(good).alias("good")]
-        for j in range(len(RULES)):
-            v = F.get("votes", F.lit(j))
-            sums += [F.sum(F.when(v == 1, good)).alias(f"gg{j}"), F.sum(F.when(v != 0, good)).alias(f"g{j}"),
-                     F.sum(F.when(v == -1, bad)).alias(f"bb{j}"), F.sum(F.when(v != 0, bad)).alias(f"b{j}")]
-        r = q.agg(*sums).first()
+        r = table.selectExpr("votes", "n", f"{model.posterior()} AS q").selectExpr(*sums).first()
         if not r["n"]:
             return model
         p = PRIOR_SHARE * r["n"]
@@ -150,8 +150,7 @@ def fit(voted: DataFrame, rounds: int = ROUNDS) -> LabelModel:
 
 def judge(voted: DataFrame, model: LabelModel) -> DataFrame:
     """Adds ``quality``, the posterior, and ``kept``."""
-    q = model.posterior(F.col("votes"))
-    return voted.withColumn("quality", q).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5))
+    return voted.withColumn("quality", F.expr(model.posterior())).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5))
 
 
 def quality(docs: DataFrame) -> DataFrame:

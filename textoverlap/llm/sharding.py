@@ -87,8 +87,8 @@ def _prepared(docs: DataFrame, dimensions: tuple[str, ...]) -> DataFrame:
                        size.alias("size"), crc.alias("crc"), F.array(*coords).alias("coords"), tie.alias("tie"))
 
 
-def build_tree(base: DataFrame, shards: int, tolerance: float = 0.002) -> Tree:
-    """Tree over ``base`` (``size``, ``coords``, ``tie``), a written table: it is read a few times a level."""
+def build_tree(base: DataFrame, shards: int, dims: int, tolerance: float = 0.002) -> Tree:
+    """Tree over ``base`` (``size``, ``coords`` of ``dims`` entries, ``tie``), a written table: it is read a few times a level."""
     tree = Tree(shards)
     while True:
         here = base.select(tree.node(F.col("coords"), F.col("tie")).alias("node"), "size", "coords", "tie")
@@ -96,7 +96,6 @@ def build_tree(base: DataFrame, shards: int, tolerance: float = 0.002) -> Tree:
         if not open_:
             return tree
         here = here.where(F.get(_array([int(d < 0 and k > 1) for d, k in zip(tree.dim, tree.shares)]), F.col("node")) == 1)
-        dims = len(base.select("coords").first()["coords"]) if tree.depth == 0 else dims  # noqa: F821
         extent = here.groupBy("node").agg(
             F.sum("size").alias("size"), F.min("tie").alias("tie0"), F.max("tie").alias("tie1"),
             *[f(F.get("coords", F.lit(d))).alias(f"{name}{d}") for d in range(dims) for name, f in (("lo", F.min), ("hi", F.max))])
@@ -141,7 +140,8 @@ def _narrow(here: DataFrame, nodes: int, state: dict) -> None:
 def shard(docs: DataFrame, shards: int = 40, dimensions: tuple[str, ...] = ("source", "lang"), tolerance: float = 0.002) -> DataFrame:
     """``row`` (all columns of ``docs``), ``doc_id``, ``size``, ``crc``, ``shard`` and ``slot`` (gapless from 0 in each shard)."""
     ready = _prepared(docs, dimensions)
-    tree = build_tree(materialize(ready.select("size", "coords", "tie"), "metadata"), shards, tolerance)
+    dims = 1 + sum(c in docs.columns for c in dimensions)
+    tree = build_tree(materialize(ready.select("size", "coords", "tie"), "metadata"), shards, dims, tolerance)
     first = F.get(_array(tree.first), tree.node(F.col("coords"), F.col("tie"))).cast("int")
     placed = ready.select("row", "doc_id", "size", "crc", "tie", first.alias("shard"),
                           F.shiftright("tie", _TIE - 6).cast("int").alias("range"))
