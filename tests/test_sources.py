@@ -3,6 +3,9 @@
 import os
 import tempfile
 
+import pytest
+
+from textoverlap.config import Params
 from textoverlap.plans import jobs
 from textoverlap.sources import read_numbered_lines, read_text_files, unreadable_paths
 
@@ -19,14 +22,29 @@ def test_text_folder_round_trip(spark):
     scores = jobs.compare_corpus(docs).collect()
     pair = [r for r in scores if r.doc1.endswith("a.txt") and r.doc2.endswith("b.txt")]
     assert len(pair) == 1 and pair[0].edit_similarity == 0.25
-    missing = unreadable_paths(spark, [os.path.join(d, "a.txt"), os.path.join(d, "zz.txt")], docs)
-    assert [r.doc_id for r in missing.collect()] == [os.path.join(d, "zz.txt")]
+    with open(os.path.join(d, "a b+c%.txt"), "w") as f:
+        f.write("Named oddly.")
+    docs = read_text_files(spark, d)
+    asked = [os.path.join(d, n) for n in ("a.txt", "a b+c%.txt", "zz.txt")]
+    missing = unreadable_paths(spark, asked, docs)
+    assert [r.doc_id for r in missing.collect()] == asked[2:]
 
 
 def test_numbered_lines(spark):
     d = tempfile.mkdtemp(prefix="to-lines-")
     p = os.path.join(d, "Input.txt")
     with open(p, "w") as f:
-        f.write("1. This is a sentence.\n2. Another One\n10. Tenth line.\n")
+        f.write("1. This is a sentence.\n2. Another One\nNo number\n10. Tenth line.\n")
     rows = {r.line_no: r.text for r in read_numbered_lines(spark, p).collect()}
-    assert rows == {1: "this is a sentence.", 2: "another one", 10: "tenth line."}
+    assert rows == {1: "this is a sentence.", 2: "another one", None: "no number", 10: "tenth line."}
+
+
+def test_missing_document_skips_its_pair(spark):
+    docs = spark.createDataFrame([(1, "One. Two."), (2, "")], "doc_id long, text string")
+    assert jobs.compare_two(docs, 1, 99).count() == 0
+    assert [r.overall_similarity for r in jobs.compare_two(docs, 1, 2).collect()] == [0.0]
+
+
+def test_shingle_size_is_bounded():
+    with pytest.raises(ValueError):
+        Params(k=5)

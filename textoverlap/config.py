@@ -51,3 +51,7 @@ class Params:
     # Target number of rows per block in blocked pair joins: each join task
     # compares at most block_rows**2 pairs, whatever the key skew.
     block_rows: int = 2048
+
+    def __post_init__(self):
+        if not 1 <= self.k <= 3:
+            raise ValueError("k must be 1, 2 or 3: signatures pack a shingle's rank and id into one long")

@@ -27,11 +27,6 @@ def byte_view(c: Column) -> Column:
     return F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
 
 
-def byte_hex(byte_str: Column) -> Column:
-    """Upper-case hex of a byte-view string (the original bytes)."""
-    return F.hex(F.encode(byte_str, "ISO-8859-1"))
-
-
 def delimiter_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(DELIM_CLASS)), F.lit(0))
 

@@ -4,7 +4,6 @@
   (the original's directory mode, without its 100-file cap).
 * ``compare_corpora``: left corpus x right corpus (two-file mode generalised).
 * ``compare_two``: two given documents of a corpus.
-* numbered-line jobs: edit distance and dense-vector cosine between lines.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from textoverlap.session import materialize
 
 @dataclass
 class Corpus:
-    """Sentence-level views of one corpus, built once and shared by the joins."""
+    """Sentence-level views of one corpus; lazy frames that the joins share."""
 
     docs: DataFrame
     sents: DataFrame
@@ -109,14 +108,15 @@ def compare_corpora(left: DataFrame, right: DataFrame, p: Params = Params()) ->
 
 
 def compare_two(docs: DataFrame, doc1, doc2, p: Params = Params()) -> DataFrame:
-    """One row for the pair (doc1, doc2), zeros included (the two-file mode)."""
+    """One row for the pair (doc1, doc2), zeros included (the two-file mode); none if a document is missing."""
     left = docs.where(F.col("doc_id") == F.lit(doc1))
     right = docs.where(F.col("doc_id") == F.lit(doc2))
     scored = compare_corpora(left, right, p)
     n = sentence_counts(docs.where(F.col("doc_id").isin(doc1, doc2)))
     base = n.agg(F.max(F.when(F.col("doc_id") == F.lit(doc1), F.col("n_sentences"))).alias("n1"),
                  F.max(F.when(F.col("doc_id") == F.lit(doc2), F.col("n_sentences"))).alias("n2"))
-    base = base.select(F.lit(doc1).alias("doc1"), F.lit(doc2).alias("doc2"),
+    # a document that is missing skips its pair; an empty one has no sentences and scores zero
+    base = base.where("n1 is not null and n2 is not null").select(F.lit(doc1).alias("doc1"), F.lit(doc2).alias("doc2"),
                        F.coalesce("n1", F.lit(0)).alias("n1"), F.coalesce("n2", F.lit(0)).alias("n2"))
     j = base.join(scored.drop("n1", "n2"), ["doc1", "doc2"], "left")
     ls = F.coalesce(F.col("lsh_similarity"), F.lit(0.0))

@@ -355,3 +355,15 @@ def doc_scores_banded(num_perm: int, seed: int, bands: int, rows: int) -> str:
              sentences_cte(), _POST, _sets_cte(), _perms_cte(num_perm, seed),
              _band_pairs_cte(num_perm, seed, bands, rows), edit, _BAND_JACCARD,
              _pair_scores("lsh", "band_jac", "SELECT sid FROM sets"), _COMBINED)
+
+EMBEDDING_COSINE = """
+WITH x AS (
+  SELECT vec_id, label, generate_subscripts(embedding, 1) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
+), m AS (
+  SELECT label, pos, avg(x) AS m FROM x GROUP BY label, pos
+)
+SELECT vec_id, x.label, round(CASE WHEN sum(x * x) = 0 OR sum(m * m) = 0 THEN 0.0
+                              ELSE sum(x * m) / (sqrt(sum(x * x)) * sqrt(sum(m * m))) END, 9) AS cosine
+FROM x JOIN m ON x.label IS NOT DISTINCT FROM m.label AND x.pos = m.pos
+GROUP BY vec_id, x.label
+"""

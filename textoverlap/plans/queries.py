@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textoverlap.config import Params
 from textoverlap.functions.text import ascii_lower, delimiter_count
-from textoverlap.functions.vectors import cosine_from_sums
+from textoverlap.functions.vectors import cosine, cosine_from_sums, magnitude
 from textoverlap.operators import jaccard_join, edit_join
 from textoverlap.operators.sentences import sentence_counts, sentence_id, sentences
 from textoverlap.operators.shingles import ranked_set, set_rows, shingle_stats, shingles
@@ -29,7 +29,8 @@ KEYS = ["doc_id", "pos"]
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    return read_documents(spark, sf)
+    # the given tables are single row groups, which scan as one task: deal the texts out
+    return read_documents(spark, sf).repartition(2 * spark.sparkContext.defaultParallelism, "doc_id")
 
 
 def _sents(spark, sf):
@@ -110,8 +111,18 @@ def q_signature_norms(spark, sf):
 
 def q_embedding_norms(spark, sf):
     e = read_table(spark, sf, "embeddings")
-    sq = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    return e.select("vec_id", F.sqrt(sq).alias("norm"))
+    return e.select("vec_id", magnitude(F.col("embedding")).alias("norm"))
+
+
+def q_embedding_cosine(spark, sf):
+    """Cosine of every vector with the mean vector of its label; one row per vector."""
+    e = read_table(spark, sf, "embeddings")
+    mean = (e.select("label", F.posexplode("embedding").alias("pos", "x")).groupBy("label", "pos")
+            .agg(F.avg(F.col("x").cast("double")).alias("x")))
+    mean = mean.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("m"))  # one entry a dimension
+    mean = mean.select(F.col("label").alias("of"), F.transform("m", lambda p: p["x"]).alias("mean"))
+    j = e.join(mean, e["label"].eqNullSafe(mean["of"]))
+    return j.select("vec_id", "label", F.round(cosine(F.col("embedding"), F.col("mean")), 9).alias("cosine"))
 
 
 def q_similar_sentence_pairs(spark, sf):
@@ -202,6 +213,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "minhash_dense": q_minhash_dense,
     "signature_norms": q_signature_norms,
     "embedding_norms": q_embedding_norms,
+    "embedding_cosine": q_embedding_cosine,
     "similar_sentence_pairs": q_similar_sentence_pairs,
     "similar_jaccard_pairs": q_similar_jaccard_pairs,
     "signature_similarity": q_signature_similarity,
@@ -232,6 +244,7 @@ ORACLES: dict[str, str] = {
     "minhash_dense": osql.minhash_dense(P.num_perm, P.seed),
     "signature_norms": osql.signature_norms(P.num_perm, P.seed),
     "embedding_norms": osql.EMBEDDING_NORMS,
+    "embedding_cosine": osql.EMBEDDING_COSINE,
     "similar_sentence_pairs": osql.SIMILAR_SENTENCE_PAIRS,
     "similar_jaccard_pairs": osql.SIMILAR_JACCARD_PAIRS,
     "signature_similarity": osql.signature_similarity(P.num_perm, P.seed),

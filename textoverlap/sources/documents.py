@@ -16,26 +16,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, key: str = "doc_id", factor: int = 2) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` when its scan has fewer splits than the
-    cluster has cores.
-
-    A small corpus stored in one file/row group scans as a single partition,
-    and the per-document work after it (sentence split, shingles) would run
-    in one task. A large corpus already scans as many splits and is left
-    as it is: no shuffle of the raw text at scale.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, key)
-
-
 def read_documents(spark: SparkSession, sf_dir: str, table: str = "documents",
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text)`` from a parquet table; other columns are pruned at the scan."""
-    d = read_table(spark, sf_dir, table).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return spread(d)
+    return read_table(spark, sf_dir, table).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:
@@ -56,10 +40,11 @@ def read_text_files(spark: SparkSession, path: str) -> DataFrame:
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Numbered sentences, one per line (``"1. This is a sentence."``).
 
-    Returns ``(line_no, text)``: the number before the dot and the body,
+    Returns ``(file, line_no, text)``: the number before the dot and the body,
     ASCII lower-cased, without the number, the dot and one following space.
-    The original tool cut a fixed three bytes and the last byte of every
-    line; here the number is parsed, so lines >= 10 and files without a final
+    A line without a number is kept whole, with a null ``line_no``. The
+    original tool cut a fixed three bytes and the last byte of every line;
+    here the number is parsed, so lines >= 10 and files without a final
     newline are read correctly.
     """
     from textoverlap.functions.text import ascii_lower
@@ -67,8 +52,8 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path)
     num = F.regexp_extract("value", r"^\s*([0-9]+)\.", 1)
     body = F.regexp_replace(F.regexp_replace("value", r"^\s*[0-9]+\. ?", ""), "\r$", "")
-    return (raw.where(num != "")
-            .select(num.cast("long").alias("line_no"), ascii_lower(body).alias("text")))
+    return raw.select(F.col("_metadata.file_path").alias("file"), F.when(num != "", num).cast("long").alias("line_no"),
+                      ascii_lower(body).alias("text"))
 
 
 def unreadable_paths(spark: SparkSession, requested: list[str] | DataFrame,
@@ -81,6 +66,7 @@ def unreadable_paths(spark: SparkSession, requested: list[str] | DataFrame,
     if not isinstance(requested, DataFrame):
         requested = spark.createDataFrame([(p,) for p in requested], "doc_id string")
     norm = F.regexp_replace(F.col("doc_id"), "^file:(//)?", "")
-    got = docs.select(norm.alias("p"))
+    # the reader's paths are URL-encoded (a plus sign stands for itself)
+    got = docs.select(F.url_decode(F.replace(norm, F.lit("+"), F.lit("%2B"))).alias("p"))
     return (requested.select(norm.alias("p"), F.col("doc_id"))
             .join(got, "p", "left_anti").select("doc_id"))
