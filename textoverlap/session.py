@@ -10,6 +10,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -81,11 +82,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage (a lost executor re-reads the table instead of re-running
     the upstream joins) and lets several downstream joins share one scan. Each
-    call has a path of its own, which nothing writes again.
+    call has a path of its own, which nothing writes again. The shuffle files
+    of the write go once the table stands, as nothing reads them any more:
+    executors hold those of one step, not of all steps before it.
     """
     spark = df.sparkSession
     path = os.path.join(tables_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
