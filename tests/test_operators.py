@@ -210,3 +210,34 @@ def test_report_block(spark):
 def test_params_defaults():
     p = Params()
     assert (p.sim_threshold, p.flag_threshold, p.k) == (0.7, 0.5, 3)
+
+
+def test_batch_edit_distance_equals_table():
+    import random
+
+    import pyarrow as pa
+    from textoverlap.functions.distance import edit_distances
+
+    def table(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    rng = random.Random(7)
+    left, right = [], []
+    for _ in range(300):
+        letters = rng.choice([b"ab", b"abcdefgh", bytes(range(256))])
+        a = bytes(rng.choice(letters) for _ in range(rng.choice([0, 1, 5, 63, 64, 65, 127, 128, 129, 200])))
+        b = bytearray(a)
+        for _ in range(rng.randint(0, 25)):
+            k = rng.randint(0, len(b))
+            b[k:k + rng.randint(0, 1)] = bytes(rng.choice(letters) for _ in range(rng.randint(0, 1)))
+        left.append(a)
+        right.append(bytes(b))
+    got = edit_distances(pa.array(left, pa.binary()), pa.array(right, pa.binary()))
+    assert got.tolist() == [table(a, b) for a, b in zip(left, right)]
+    assert edit_distances(pa.array([], pa.binary()), pa.array([], pa.binary())).tolist() == []

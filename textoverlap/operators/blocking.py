@@ -10,7 +10,7 @@ row id, every row is replicated once per partner block, and the join runs on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,11 +41,13 @@ def pair_partitions(spark, factor: int = 4) -> int:
 
 
 def blocked_self_pairs(df: DataFrame, key: str, id_col: str, block_rows: int,
-                       partitions: int | None = None) -> DataFrame:
+                       partitions: int | None = None, possible: Column | None = None) -> DataFrame:
     """Unordered pairs of rows sharing ``key``, each pair once, ``l_id < r_id``.
 
     Columns of ``df`` come back prefixed ``l_`` and ``r_``; rows are swapped so
-    the smaller ``id_col`` is on the left.
+    the smaller ``id_col`` is on the left. With ``possible``, a symmetric test
+    on those columns, pairs that fail it go before ids are compared, and the
+    others come back in either order.
     """
     cols = [c for c in df.columns if c != key]
     b = df.join(_block_counts(df, key, block_rows, "_nb"), key)
@@ -60,6 +62,8 @@ def blocked_self_pairs(df: DataFrame, key: str, id_col: str, block_rows: int,
     left, right = _spread(left, right, key, partitions)
     j = left.join(right, [key, "_lb", "_rb"])
     lid, rid = F.col("l_" + id_col), F.col("r_" + id_col)
+    if possible is not None:
+        return j.where(possible & ((F.col("_lb") < F.col("_rb")) | (lid < rid))).drop("_lb", "_rb")
     j = j.where((F.col("_lb") < F.col("_rb")) | (lid < rid)).where(lid != rid)
     swap = lid > rid
     out = [F.col(key)]

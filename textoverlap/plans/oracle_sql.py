@@ -144,29 +144,30 @@ def _edit_pairs_cte(src: str = "sents", name: str = "edit_pairs", src_b: str | N
     slack = f"({1 - T} * {lmax} + 1.0)"
     bucket = f"floor(ln(strlen(text)) / ln(1.0 / {T - 0.01}))::INT AS bucket"
     feats = f"SELECT md5(text) AS sid, text, strlen(text) AS n, {bucket}, {_hist_cols()}"
-    pair_cols = f"""a.sid AS sid_a, b.sid AS sid_b, a.n AS len_a, b.n AS len_b,
-         CASE WHEN abs(a.n - b.n) <= {slack} AND ({l1} + abs(a.n - b.n)) / 2 <= {slack}
-              THEN levenshtein(a.text, b.text) ELSE -1 END AS distance"""
+    keep = f"abs(a.n - b.n) <= {slack} AND ({l1} + abs(a.n - b.n)) / 2 <= {slack}"
+    feats = feats.replace("SELECT md5", "SELECT row_number() OVER () AS rid, md5", 1)
+    pairs = lambda other, on: f"SELECT a.rid AS ra, b.rid AS rb FROM {name}_d a JOIN {other} b ON {on} WHERE {keep}"
+    # pairs of row numbers are materialised first, so that the distances are computed by all threads
     if src_b:
-        body = f"""
-{name}_db AS MATERIALIZED ({feats} FROM (SELECT DISTINCT text FROM {src_b})),
-{name}_c AS (
-  SELECT {pair_cols} FROM {name}_d a JOIN {name}_db b ON b.bucket = a.bucket
-  UNION ALL SELECT {pair_cols} FROM {name}_d a JOIN {name}_db b ON b.bucket = a.bucket + 1
-  UNION ALL SELECT {pair_cols} FROM {name}_d a JOIN {name}_db b ON b.bucket = a.bucket - 1)"""
+        other = f"{name}_db"
+        extra = f"\n{other} AS MATERIALIZED ({feats} FROM (SELECT DISTINCT text FROM {src_b})),"
+        near = [pairs(other, f"b.bucket = a.bucket + {i}") for i in (0, 1, -1)]
+        first, second = "a", "b"
     else:
-        body = f"""
-{name}_c AS (
-  SELECT {pair_cols} FROM {name}_d a JOIN {name}_d b ON b.bucket = a.bucket AND a.sid < b.sid
-  UNION ALL
-  SELECT least(sid_a, sid_b), greatest(sid_a, sid_b), CASE WHEN sid_a < sid_b THEN len_a ELSE len_b END,
-         CASE WHEN sid_a < sid_b THEN len_b ELSE len_a END, distance
-  FROM (SELECT {pair_cols} FROM {name}_d a JOIN {name}_d b ON b.bucket = a.bucket + 1))"""
+        other, extra = f"{name}_d", ""
+        near = [pairs(other, "b.bucket = a.bucket AND a.rid < b.rid"), pairs(other, "b.bucket = a.bucket + 1")]
+        first, second = "CASE WHEN a.sid < b.sid THEN a.{0} ELSE b.{0} END", "CASE WHEN a.sid < b.sid THEN b.{0} ELSE a.{0} END"
+    col = lambda side, c: side.format(c) if "{0}" in side else f"{side}.{c}"
     return f"""
-{name}_d AS MATERIALIZED ({feats} FROM (SELECT DISTINCT text FROM {src})),{body},
+{name}_d AS MATERIALIZED ({feats} FROM (SELECT DISTINCT text FROM {src})),{extra}
+{name}_p AS MATERIALIZED ({" UNION ALL ".join(near)}),
+{name}_c AS (
+  SELECT {col(first, "sid")} AS sid_a, {col(second, "sid")} AS sid_b, {col(first, "n")} AS len_a, {col(second, "n")} AS len_b,
+         levenshtein(a.text, b.text) AS distance
+  FROM {name}_p p JOIN {name}_d a ON a.rid = p.ra JOIN {other} b ON b.rid = p.rb),
 {name} AS MATERIALIZED (
   SELECT sid_a, sid_b, len_a, len_b, distance, 1.0 - distance / greatest(len_a, len_b)::DOUBLE AS similarity
-  FROM {name}_c WHERE distance >= 0 AND 1.0 - distance / greatest(len_a, len_b)::DOUBLE >= {T})"""
+  FROM {name}_c WHERE 1.0 - distance / greatest(len_a, len_b)::DOUBLE >= {T})"""
 
 
 SIMILAR_SENTENCE_PAIRS = q("SELECT * FROM edit_pairs", sentences_cte(), _edit_pairs_cte())
