@@ -22,7 +22,9 @@ from textoverlap.session import materialize
 
 @dataclass
 class Corpus:
-    """Sentence-level views of one corpus; lazy frames that the joins share."""
+    """Sentence-level views of one corpus. The texts are split once: sentences,
+    distinct sentences with their sets, and postings are written tables that all
+    joins read."""
 
     docs: DataFrame
     sents: DataFrame
@@ -33,10 +35,11 @@ class Corpus:
 
     @classmethod
     def of(cls, docs: DataFrame, k: int = 3) -> "Corpus":
-        sents = sentences(docs)
-        distinct = distinct_sentences(sents)
-        sets = set_arrays(distinct, ["sid", "n_bytes"], k, "exact")
-        return cls(docs, sents, distinct, postings(sents), sentence_counts(docs), sets)
+        sents = materialize(sentences(docs), "sentences")
+        distinct = materialize(distinct_sentences(sents), "distinct_sentences")
+        sets = materialize(set_arrays(distinct, ["sid", "n_bytes"], k, "exact"), "shingle_sets")
+        post = materialize(postings(sents), "postings")
+        return cls(docs, sents, distinct, post, sentence_counts(docs), sets)
 
 
 def edit_pairs(c: Corpus, p: Params = Params(), method: str = "exact") -> DataFrame:
