@@ -173,6 +173,17 @@ def _edit_pairs_cte(src: str = "sents", name: str = "edit_pairs", src_b: str | N
 SIMILAR_SENTENCE_PAIRS = q("SELECT * FROM edit_pairs", sentences_cte(), _edit_pairs_cte())
 
 
+# brute force over all turn pairs of a conversation
+LINE_EDIT_DISTANCE = f"""
+WITH l AS (SELECT conv_id, turn, regexp_replace(translate(text, '{UPPER}', '{LOWER}'), '^ ', '') AS t FROM conversations),
+p AS (SELECT a.conv_id, a.turn AS line_a, b.turn AS line_b, levenshtein(a.t, b.t) AS distance,
+        greatest(strlen(a.t), strlen(b.t)) AS longest
+      FROM l a JOIN l b ON a.conv_id = b.conv_id AND a.turn < b.turn WHERE strlen(a.t) > 0 AND strlen(b.t) > 0)
+SELECT conv_id, line_a, line_b, distance, 1.0 - distance / longest::DOUBLE AS similarity,
+  printf('Edit Distance between sentence %d and %d is %d.', line_a, line_b, distance) AS line
+FROM p WHERE 1.0 - distance / longest::DOUBLE >= 0.3"""
+
+
 def _sets_cte(src: str = "sents", name: str = "sets") -> str:
     return f"""
 {name}_tok AS (

@@ -19,13 +19,15 @@ from textoverlap.operators.sentences import sentence_counts, sentence_id, senten
 from textoverlap.operators.shingles import ranked_set, set_rows, shingle_stats, shingles
 from textoverlap.operators.signatures import minhash
 from textoverlap.operators.vocabulary import vocabulary
-from textoverlap.operators.report import fixed4, verdict
+from textoverlap.operators.report import edit_distance_line, fixed4, verdict
 from textoverlap.plans import jobs
 from textoverlap.plans import oracle_sql as osql
 from textoverlap.sources import read_documents, read_table
 
 P = Params()
 KEYS = ["doc_id", "pos"]
+# Classic mode lists every line pair; the listing here holds pairs from this similarity on.
+LISTED_SIMILARITY = 0.3
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -197,6 +199,14 @@ def q_cross_corpus(spark, sf):
     return jobs.compare_corpora(_docs(spark, sf), right, P)
 
 
+def q_line_edit_distance(spark, sf):
+    """Classic mode over conversations: similar turns of one conversation, with the line of the listing."""
+    turns = read_table(spark, sf, "conversations").select(F.col("conv_id").alias("grp"), F.col("turn").alias("line"), "text")
+    p = edit_join.similar_lines(turns, LISTED_SIMILARITY, P.block_rows)
+    return p.select(F.col("grp").alias("conv_id"), "line_a", "line_b", "distance", "similarity",
+                    edit_distance_line().alias("line"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "src_documents": q_src_documents,
     "ascii_lower": q_ascii_lower,
@@ -223,6 +233,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagged_documents": q_flagged_documents,
     "doc_report": q_doc_report,
     "cross_corpus": q_cross_corpus,
+    "line_edit_distance": q_line_edit_distance,
     "lsh_edit_pairs": q_lsh_edit_pairs,
     "lsh_jaccard_pairs": q_lsh_jaccard_pairs,
     "doc_scores_banded": q_doc_scores_banded,
@@ -254,6 +265,7 @@ ORACLES: dict[str, str] = {
     "flagged_documents": osql.FLAGGED_DOCUMENTS,
     "doc_report": osql.DOC_REPORT,
     "cross_corpus": osql.CROSS_CORPUS,
+    "line_edit_distance": osql.LINE_EDIT_DISTANCE,
     "lsh_edit_pairs": osql.lsh_edit_pairs(P.bands * P.rows, P.seed, P.bands, P.rows),
     "lsh_jaccard_pairs": osql.lsh_jaccard_pairs(P.bands * P.rows, P.seed, P.bands, P.rows),
     "doc_scores_banded": osql.doc_scores_banded(P.bands * P.rows, P.seed, P.bands, P.rows),
