@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textoverlap.llm import decontam, langid, lm, mixing, quality, sharding, simhash, substring, url_rules, warc
+from textoverlap.llm import decontam, langid, lm, mixing, negatives, quality, sharding, simhash, substring, url_rules, warc
 from textoverlap.llm.common import read
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -71,5 +71,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = negatives.quantised(read(spark, sf_dir, "embeddings"))
+    label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_decontamination, op3_language, op4_lm_scores, op5_near_duplicates, op6_quality,
-                                   op7_substring_dedup, op8_warc, op9_url_rules, op10_mixing)}
+                                   op7_substring_dedup, op8_warc, op9_url_rules, op10_mixing, op13_hard_negatives)}
