@@ -134,4 +134,52 @@ QUALIFY row_number() OVER own <= 5
 """
 
 
-ORACLES = {"op6_quality": _op6(), "op8_warc": OP8, "op9_url_rules": OP9, "op10_mixing": OP10, "op13_hard_negatives": OP13}
+def _op12() -> str:
+    """CRC-32 is linear: the value of each byte by its distance from the end, and that of as many zero bytes, by exclusive or.
+    Near words by the edit distance of every two words, in an alphabet of one byte a code point."""
+    wide = "".join(chr(c) for c in range(0xC0, 0x100))
+    narrow = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).islower() and chr(c) != "'")[:64]
+    return f"""
+WITH RECURSIVE run AS MATERIALIZED (
+  SELECT doc_id, w, count(*) AS n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS m FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z{wide}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+    FROM documents) WHERE length(w) >= 6 GROUP BY doc_id, w
+), t8(b, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT b, k + 1, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) FROM t8 WHERE k < 8
+), tab AS MATERIALIZED (SELECT b, c FROM t8 WHERE k = 8
+), far(b, k, c) AS (
+  SELECT b, 0, c FROM tab
+  UNION ALL SELECT far.b, k + 1, xor(tab.c, far.c >> 8) FROM far JOIN tab ON tab.b = far.c & 255 WHERE k < (SELECT max(strlen(m)) FROM run)
+), zero(k, c) AS (
+  SELECT 0, 4294967295
+  UNION ALL SELECT k + 1, xor(tab.c, zero.c >> 8) FROM zero JOIN tab ON tab.b = zero.c & 255 WHERE k < (SELECT max(strlen(m)) FROM run)
+), message AS MATERIALIZED (SELECT DISTINCT m, strlen(m) AS size, hex(m) AS x FROM run
+), hashed AS (
+  SELECT m, xor(xor(bit_xor(far.c), any_value(zero.c)), 4294967295) AS h
+  FROM (SELECT m, size, i, CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT) AS b FROM (SELECT *, unnest(range(size)) AS i FROM message)) p
+  JOIN far ON far.b = p.b AND far.k = size - 1 - i JOIN zero ON zero.k = size GROUP BY m
+), made AS (
+  SELECT n, CASE WHEN h % 199 = 0 THEN left(w, CAST(h % length(w) AS INT)) || substr(w, CAST(h % length(w) AS INT) + 2) ELSE w END AS word
+  FROM run JOIN hashed USING (m)
+), v AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n, length(word) AS l, translate(word, '{wide}', '{narrow}') AS x
+  FROM made WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), near AS MATERIALIZED (
+  SELECT a.word, a.n AS own, b.word AS other, b.n FROM v a JOIN v b ON b.l = a.l AND a.word <> b.word WHERE levenshtein(a.x, b.x) = 1
+  UNION ALL SELECT a.word, a.n, b.word, b.n FROM v a JOIN v b ON b.l = a.l + 1 WHERE levenshtein(a.x, b.x) = 1
+  UNION ALL SELECT a.word, a.n, b.word, b.n FROM v a JOIN v b ON b.l = a.l - 1 WHERE levenshtein(a.x, b.x) = 1
+), best AS MATERIALIZED (
+  SELECT word, other AS form, n AS form_n FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other COLLATE "C") = 1 AND n >= 5 * own
+), up(word, here, depth) AS (
+  SELECT word, form, 1 FROM best UNION ALL SELECT up.word, best.form, depth + 1 FROM up JOIN best ON best.word = up.here
+)
+SELECT v.word, best.form, coalesce(r.root, v.word) AS root, v.n, coalesce(c.n_near, 0) AS n_near, best.form_n
+FROM v LEFT JOIN best USING (word) LEFT JOIN (SELECT word, arg_max(here, depth) AS root FROM up GROUP BY word) r USING (word)
+LEFT JOIN (SELECT word, count(*) AS n_near FROM near GROUP BY word) c USING (word)
+"""
+
+
+ORACLES = {"op6_quality": _op6(), "op8_warc": OP8, "op9_url_rules": OP9, "op10_mixing": OP10, "op12_spelling": _op12(),
+           "op13_hard_negatives": OP13}

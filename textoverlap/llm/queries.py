@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textoverlap.llm import decontam, langid, lm, mixing, negatives, quality, sharding, simhash, substring, url_rules, warc
+from textoverlap.llm import decontam, langid, lm, mixing, negatives, quality, sharding, simhash, spelling, substring, url_rules, warc
 from textoverlap.llm.common import read
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -71,6 +71,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _misspelt(doc_id: Column, word: Column) -> Column:
+    """One code point of a word goes in one of 199 (document, word) pairs."""
+    seed = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), word)
+    h = F.crc32(F.encode(seed, "UTF-8"))
+    at = F.pmod(h, F.char_length(word)).cast("int")
+    cut = F.concat(F.substring(word, F.lit(1), at), F.substring(word, at + 2, F.char_length(word)))
+    return F.when(F.pmod(h, F.lit(199)) == 0, cut).otherwise(word)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.corpus_words(read(spark, sf_dir, "documents"), "[A-Za-z\u00C0-\u00FF]", 6, 5, _misspelt)
+    return spelling.variants(words, ratio=5)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = negatives.quantised(read(spark, sf_dir, "embeddings"))
     label = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -78,4 +92,5 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_decontamination, op3_language, op4_lm_scores, op5_near_duplicates, op6_quality,
-                                   op7_substring_dedup, op8_warc, op9_url_rules, op10_mixing, op13_hard_negatives)}
+                                   op7_substring_dedup, op8_warc, op9_url_rules, op10_mixing, op12_spelling,
+                                   op13_hard_negatives)}
