@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textoverlap.llm import decontam, langid, lm, mixing, negatives, quality, sharding, simhash, spelling, substring, url_rules, warc
+from textoverlap.llm import classifier, decontam, langid, lm, mixing, negatives, quality, sharding, simhash, spelling, substring, url_rules, warc
 from textoverlap.llm.common import read
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -71,6 +71,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held = _fold(3) == 1
+    model = classifier.fit(docs, labels.where(~held))
+    out = classifier.score(docs, model, [F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out")], "doc_id long, held_out boolean")
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def _misspelt(doc_id: Column, word: Column) -> Column:
     """One code point of a word goes in one of 199 (document, word) pairs."""
     seed = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), word)
@@ -92,5 +100,5 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_decontamination, op3_language, op4_lm_scores, op5_near_duplicates, op6_quality,
-                                   op7_substring_dedup, op8_warc, op9_url_rules, op10_mixing, op12_spelling,
-                                   op13_hard_negatives)}
+                                   op7_substring_dedup, op8_warc, op9_url_rules, op10_mixing, op11_quality_scores,
+                                   op12_spelling, op13_hard_negatives)}
