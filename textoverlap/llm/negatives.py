@@ -39,7 +39,7 @@ FANOUT = 8
 MAX_LEVELS = 4
 LEAF_ROWS = 1024  # wanted
 SAMPLE_ROWS = 8192
-BUCKET_ROWS = 8192
+BUCKET_ROWS = 2048
 CHUNK_QUERIES = 1024
 STEP = 256  # windows compared at once with a bucket
 NO_LIMIT = 1 << 60
