@@ -3,6 +3,7 @@
 * ``compare_corpus``: every document pair of one corpus with a non-zero score
   (the original's directory mode, without its 100-file cap).
 * ``compare_corpora``: left corpus x right corpus (two-file mode generalised).
+* ``score_pairs``: given pairs, with the original's own pair-scoped LSH score.
 * ``compare_two``: two given documents of a corpus.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textoverlap.config import Params
-from textoverlap.operators import banded_join, edit_join, jaccard_join, scoring
+from textoverlap.operators import banded_join, edit_join, jaccard_join, pair_scores, scoring
 from textoverlap.operators.sentences import distinct_sentences, postings, sentence_counts, sentences
 from textoverlap.operators.shingles import set_arrays
 from textoverlap.session import materialize
@@ -110,20 +111,16 @@ def compare_corpora(left: DataFrame, right: DataFrame, p: Params = Params()) ->
     return scoring.combine(ls, e, p.flag_threshold)
 
 
+def score_pairs(left: DataFrame, right: DataFrame, pairs: DataFrame, p: Params = Params()) -> DataFrame:
+    """Given pairs scored as the original scores them, zeros included: ``lsh_similarity`` is the share of sentence pairs with
+    similar dense vectors, vocabulary and permutations scoped to the pair. A pair with a missing document is skipped."""
+    s = pair_scores.score_pairs(left, right, pairs, p.sim_threshold, p.flag_threshold, p.k)
+    return s.select("doc1", "doc2", "n1", "n2", F.col("dense_similarity").alias("lsh_similarity"), "edit_similarity",
+                    "overall_similarity", "flagged")
+
+
 def compare_two(docs: DataFrame, doc1, doc2, p: Params = Params()) -> DataFrame:
     """One row for the pair (doc1, doc2), zeros included (the two-file mode); none if a document is missing."""
-    left = docs.where(F.col("doc_id") == F.lit(doc1))
-    right = docs.where(F.col("doc_id") == F.lit(doc2))
-    scored = compare_corpora(left, right, p)
-    n = sentence_counts(docs.where(F.col("doc_id").isin(doc1, doc2)))
-    base = n.agg(F.max(F.when(F.col("doc_id") == F.lit(doc1), F.col("n_sentences"))).alias("n1"),
-                 F.max(F.when(F.col("doc_id") == F.lit(doc2), F.col("n_sentences"))).alias("n2"))
-    # a document that is missing skips its pair; an empty one has no sentences and scores zero
-    base = base.where("n1 is not null and n2 is not null").select(F.lit(doc1).alias("doc1"), F.lit(doc2).alias("doc2"),
-                       F.coalesce("n1", F.lit(0)).alias("n1"), F.coalesce("n2", F.lit(0)).alias("n2"))
-    j = base.join(scored.drop("n1", "n2"), ["doc1", "doc2"], "left")
-    ls = F.coalesce(F.col("lsh_similarity"), F.lit(0.0))
-    es = F.coalesce(F.col("edit_similarity"), F.lit(0.0))
-    overall = (ls + es) / F.lit(2.0)
-    return j.select("doc1", "doc2", "n1", "n2", ls.alias("lsh_similarity"), es.alias("edit_similarity"),
-                    overall.alias("overall_similarity"), (overall >= F.lit(p.flag_threshold)).alias("flagged"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    pair = docs.sparkSession.range(1).select(F.lit(doc1).cast(kind).alias("doc1"), F.lit(doc2).cast(kind).alias("doc2"))
+    return score_pairs(docs, docs, pair, p)

@@ -298,6 +298,64 @@ CROSS_CORPUS = q("SELECT *, overall_similarity >= 0.5 AS flagged FROM combined",
                  _rs_scores("lsh", "jac_pairs"), _COMBINED)
 
 
+def _pair_scope(right: str = "sents", counts: str = "ndoc") -> tuple[str, ...]:
+    """Both scores of the rows of ``pairs``, every cross pair of sentences compared: vocabulary and permutations of one pair."""
+    return (f"""
+pn AS MATERIALIZED (SELECT p.doc1, p.doc2, a.n AS n1, b.n AS n2 FROM pairs p JOIN ndoc a ON a.doc_id = p.doc1 JOIN {counts} b ON b.doc_id = p.doc2),
+ps AS MATERIALIZED (
+  SELECT p.doc1, p.doc2, 1 AS side, s.pos, s.text, s.n_bytes AS n FROM pairs p JOIN sents s ON s.doc_id = p.doc1
+  UNION ALL SELECT p.doc1, p.doc2, 2, s.pos, s.text, s.n_bytes FROM pairs p JOIN {right} s ON s.doc_id = p.doc2),
+psh AS MATERIALIZED (
+  SELECT doc1, doc2, side, pos, spos, x AS code, ('0x' || substr(x, 1, 2))::INT + ('0x' || substr(x, 3, 2))::INT * 2
+         + ('0x' || substr(x, 5, 2))::INT * 3 AS weight
+  FROM (SELECT *, substr(hex(text), 2 * spos - 1, 6) AS x FROM (SELECT *, unnest(range(1, n - 1)) AS spos FROM ps WHERE n >= 3))),
+pv AS MATERIALIZED (
+  SELECT doc1, doc2, code, row_number() OVER (PARTITION BY doc1, doc2 ORDER BY f) AS vid
+  FROM (SELECT doc1, doc2, code, min((side, pos, spos)) AS f FROM psh GROUP BY ALL)),
+pm AS MATERIALIZED (
+  SELECT w.doc1, w.doc2, w.side, w.pos, v.vid, pn.n1 + pn.n2 AS n
+  FROM (SELECT doc1, doc2, side, pos, weight, arg_min(code, spos) AS code FROM psh GROUP BY ALL) w
+  JOIN pv v ON v.doc1 = w.doc1 AND v.doc2 = w.doc2 AND v.code = w.code JOIN pn ON pn.doc1 = w.doc1 AND pn.doc2 = w.doc2),
+{_PAIR_PERMS},
+psig AS MATERIALIZED (
+  SELECT doc1, doc2, side, pos, j, min(((a * vid + b) % 2147483647) * 4294967296 + vid) % 4294967296 AS vid
+  FROM pm JOIN perm ON j <= n GROUP BY ALL),
+pvec AS MATERIALIZED (
+  SELECT doc1, doc2, side, pos, list(vid::DOUBLE ORDER BY j) AS v, sqrt(sum(vid * vid)::DOUBLE) AS norm FROM psig GROUP BY ALL),
+pdense AS (
+  SELECT a.doc1, a.doc2, count(*) AS c FROM pvec a JOIN pvec b ON a.doc1 = b.doc1 AND a.doc2 = b.doc2 AND a.side = 1 AND b.side = 2
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.7 GROUP BY ALL),
+pedit AS (
+  SELECT a.doc1, a.doc2, count(*) AS c FROM ps a JOIN ps b ON a.doc1 = b.doc1 AND a.doc2 = b.doc2 AND a.side = 1 AND b.side = 2
+  WHERE abs(a.n - b.n) <= 0.3 * greatest(a.n, b.n) + 1 AND 1.0 - levenshtein(a.text, b.text) / greatest(a.n, b.n)::DOUBLE >= 0.7 GROUP BY ALL),
+pscore AS (
+  SELECT pn.doc1, pn.doc2, n1, n2, coalesce(d.c, 0) / (n1 * n2)::DOUBLE AS dense, coalesce(e.c, 0) / (n1 * n2)::DOUBLE AS edit
+  FROM pn LEFT JOIN pdense d ON d.doc1 = pn.doc1 AND d.doc2 = pn.doc2 LEFT JOIN pedit e ON e.doc1 = pn.doc1 AND e.doc2 = pn.doc2)""",)
+
+
+# the permutations: rank of id v under permutation j is (a * v + b) % 2147483647
+_PAIR_PERMS = """
+perm AS MATERIALIZED (
+  SELECT j, 1 + ((j * j % 2147483647) * 48271 + j * 16807 + 20240601) % 2147483646 AS a,
+         ((j * j % 2147483647) * 69621 + j * 40692 + 1062042) % 2147483647 AS b
+  FROM (SELECT unnest(range(1, (SELECT max(n) FROM pm) + 1)) AS j))"""
+
+SCORE_PAIRS = q("""SELECT s.doc1, s.doc2, s.n1, s.n2, c.lsh_similarity AS jaccard_similarity, dense AS dense_similarity, edit AS edit_similarity,
+  (dense + edit) / 2.0 AS overall_similarity, (dense + edit) / 2.0 >= 0.5 AS flagged
+FROM pscore s JOIN combined c ON c.doc1 = s.doc1 AND c.doc2 = s.doc2""",
+                sentences_cte(), sentences_cte("benchmark", "item_id", "bsents"), _POST, _POST_B,
+                _edit_pairs_cte("sents", "edit_pairs", "bsents"), _rs_scores("edit", "edit_pairs"),
+                _sets_cte(), _sets_cte("bsents", "bsets"), _jaccard_pairs_cte("jac_pairs", "sets", "bsets"),
+                _rs_scores("lsh", "jac_pairs"), _COMBINED.replace("combined AS (", "combined AS MATERIALIZED ("),
+                "\npairs AS MATERIALIZED (SELECT doc1, doc2 FROM combined)", *_pair_scope("bsents", "ndoc_b"))
+
+COMPARE_TWO = q("""SELECT doc1, doc2, n1, n2, dense AS lsh_similarity, edit AS edit_similarity, (dense + edit) / 2.0 AS overall_similarity,
+  (dense + edit) / 2.0 >= 0.5 AS flagged FROM pscore""",
+                sentences_cte(), _POST, """
+pairs AS MATERIALIZED (
+  SELECT min(doc_id) AS doc1, max(doc_id) AS doc2 FROM (SELECT doc_id FROM ndoc ORDER BY n DESC, doc_id LIMIT 2))""", *_pair_scope())
+
+
 def signature_similarity(num_perm: int, seed: int) -> str:
     """Dense-vector cosine and signature agreement of Jaccard-similar pairs."""
     members = """

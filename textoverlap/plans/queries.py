@@ -22,6 +22,7 @@ from textoverlap.operators.vocabulary import vocabulary
 from textoverlap.operators.report import edit_distance_line, fixed4, verdict
 from textoverlap.plans import jobs
 from textoverlap.plans import oracle_sql as osql
+from textoverlap.session import materialize
 from textoverlap.sources import read_documents, read_table
 
 P = Params()
@@ -199,6 +200,21 @@ def q_cross_corpus(spark, sf):
     return jobs.compare_corpora(_docs(spark, sf), right, P)
 
 
+def q_score_pairs(spark, sf):
+    """The pairs of ``cross_corpus`` with the original's pair-scoped score beside the Jaccard score."""
+    left, right = _docs(spark, sf), read_documents(spark, sf, "benchmark", id_col="item_id")
+    pairs = materialize(jobs.compare_corpora(left, right, P).select("doc1", "doc2", F.col("lsh_similarity").alias("jaccard_similarity")), "pairs")
+    s = jobs.score_pairs(left, right, pairs, P).withColumnRenamed("lsh_similarity", "dense_similarity")
+    return s.join(pairs, ["doc1", "doc2"])
+
+
+def q_compare_two(spark, sf):
+    """Two-file mode on the two documents with the most sentences (of equal ones the smaller id)."""
+    docs = _docs(spark, sf)
+    two = sentence_counts(docs).orderBy(F.col("n_sentences").desc(), "doc_id").limit(2)
+    return jobs.score_pairs(docs, docs, two.agg(F.min("doc_id").alias("doc1"), F.max("doc_id").alias("doc2")), P)
+
+
 def q_line_edit_distance(spark, sf):
     """Classic mode over conversations: similar turns of one conversation, with the line of the listing."""
     turns = read_table(spark, sf, "conversations").select(F.col("conv_id").alias("grp"), F.col("turn").alias("line"), "text")
@@ -233,6 +249,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagged_documents": q_flagged_documents,
     "doc_report": q_doc_report,
     "cross_corpus": q_cross_corpus,
+    "score_pairs": q_score_pairs,
+    "compare_two": q_compare_two,
     "line_edit_distance": q_line_edit_distance,
     "lsh_edit_pairs": q_lsh_edit_pairs,
     "lsh_jaccard_pairs": q_lsh_jaccard_pairs,
@@ -265,6 +283,8 @@ ORACLES: dict[str, str] = {
     "flagged_documents": osql.FLAGGED_DOCUMENTS,
     "doc_report": osql.DOC_REPORT,
     "cross_corpus": osql.CROSS_CORPUS,
+    "score_pairs": osql.SCORE_PAIRS,
+    "compare_two": osql.COMPARE_TWO,
     "line_edit_distance": osql.LINE_EDIT_DISTANCE,
     "lsh_edit_pairs": osql.lsh_edit_pairs(P.bands * P.rows, P.seed, P.bands, P.rows),
     "lsh_jaccard_pairs": osql.lsh_jaccard_pairs(P.bands * P.rows, P.seed, P.bands, P.rows),
