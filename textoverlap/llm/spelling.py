@@ -178,7 +178,7 @@ def near_words(pairs: DataFrame) -> DataFrame:
 def roots(links: DataFrame) -> DataFrame:
     """``id, root`` from ``id, to`` without cycles: each round doubles the way, so their number is the logarithm of the
     longest chain (a form has several times its word's count, so chains are short)."""
-    now = materialize(links, "links")
+    now = links
     while True:
         onward = now.select(F.col("id").alias("to"), F.col("to").alias("next"))
         moved = materialize(now.join(onward, "to", "left"), "links")
@@ -192,8 +192,7 @@ def variants(words: DataFrame, ratio: int = RATIO, range_words: int = RANGE_WORD
     ``ratio`` (over 1) times the word's own; the root is the end of the chain of forms."""
     clean = words.where("word IS NOT NULL AND n IS NOT NULL").groupBy("word").agg(F.sum("n").cast("long").alias("n"))
     numbered, pairs = node_pairs(materialize(clean, "words"), range_words)
-    near = materialize(near_words(pairs), "near_words")
-    own = numbered.join(near, "id", "left").select(
+    own = numbered.join(near_words(pairs), "id", "left").select(
         "id", "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(F.col("best.n") >= ratio * F.col("n"), F.struct(F.col("best.n").alias("n"), (-F.col("best.before")).alias("id"))).alias("form"))
     own = materialize(own, "forms")
