@@ -13,12 +13,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textoverlap.session import materialize
 
-def _block_counts(df: DataFrame, key: str, block_rows: int, name: str) -> DataFrame:
-    """``(key, name)``: number of blocks per key (one row per distinct key)."""
+
+BROADCAST_KEYS = 1 << 18  # heavy keys that are broadcast; beyond it they are joined by shuffle
+
+
+def _heavy(df: DataFrame, key: str, block_rows: int, name: str) -> DataFrame:
+    """``(_k, name)``: the number of blocks of each key with more than ``block_rows`` rows; every other key has one.
+
+    The table has at most rows / block_rows rows. It is written, counted, and broadcast where small, so that what it is
+    joined to is not shuffled by its plain, skewed key.
+    """
     n = F.count(F.lit(1))
-    return df.groupBy(key).agg(
-        F.greatest(F.lit(1), F.ceil(n / F.lit(block_rows)).cast("int")).alias(name))
+    heavy = (df.groupBy(key).agg(n.alias("_n")).where(F.col("_n") > block_rows)
+             .select(F.col(key).alias("_k"), F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias(name)))
+    heavy = materialize(heavy, "heavy_keys")
+    return F.broadcast(heavy) if heavy.count() <= BROADCAST_KEYS else heavy
+
+
+def _with_blocks(df: DataFrame, heavy: DataFrame, key: str, name: str) -> DataFrame:
+    return df.join(heavy, F.col(key) == F.col("_k"), "left").drop("_k").withColumn(name, F.coalesce(name, F.lit(1)))
 
 
 def _spread(left: DataFrame, right: DataFrame, key: str, partitions: int | None):
@@ -50,7 +65,7 @@ def blocked_self_pairs(df: DataFrame, key: str, id_col: str, block_rows: int,
     others come back in either order.
     """
     cols = [c for c in df.columns if c != key]
-    b = df.join(_block_counts(df, key, block_rows, "_nb"), key)
+    b = _with_blocks(df, _heavy(df, key, block_rows, "_nb"), key, "_nb")
     blk = F.pmod(F.xxhash64(F.col(id_col)), F.col("_nb")).cast("int")
     b = b.withColumn("_blk", blk)
     # left copy of a row in block i meets blocks j >= i, right copy in block j meets i <= j
@@ -82,10 +97,8 @@ def blocked_cross_pairs(left: DataFrame, right: DataFrame, key: str, id_col: str
     """
     lcols = [c for c in left.columns if c != key]
     rcols = [c for c in right.columns if c != key]
-    nl = _block_counts(left, key, block_rows, "_nl")
-    nr = _block_counts(right, key, block_rows, "_nr")
-    lb = left.join(nl, key).join(nr, key)
-    rb = right.join(nr, key).join(nl, key)
+    hl, hr = _heavy(left, key, block_rows, "_nl"), _heavy(right, key, block_rows, "_nr")
+    lb, rb = (_with_blocks(_with_blocks(df, hl, key, "_nl"), hr, key, "_nr") for df in (left, right))
     lsel = lb.select(F.col(key), F.pmod(F.xxhash64(F.col(id_col)), F.col("_nl")).cast("int").alias("_lb"),
                      F.explode(F.sequence(F.lit(0), F.col("_nr") - 1)).alias("_rb"),
                      *[F.col(c).alias("l_" + c) for c in lcols])

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textoverlap.config import Params
-from textoverlap.operators import banded_join, edit_join, jaccard_join, pair_scores, scoring
+from textoverlap.operators import banded_join, edit_join, hamming_bands, jaccard_join, pair_scores, scoring
 from textoverlap.operators.sentences import distinct_sentences, postings, sentence_counts, sentences
 from textoverlap.operators.shingles import set_arrays
 from textoverlap.session import materialize
@@ -44,10 +44,12 @@ class Corpus:
 
 
 def edit_pairs(c: Corpus, p: Params = Params(), method: str = "exact") -> DataFrame:
-    """Edit-similar distinct sentence pairs: ``exact`` (length-bucketed join,
-    complete) or ``banded`` (MinHash LSH candidates, verified, may miss pairs)."""
+    """Edit-similar distinct sentence pairs: ``exact`` (length-bucketed join, complete), ``hamming`` (bands of an
+    edit-to-Hamming embedding, verified, misses few) or ``banded`` (MinHash LSH candidates, verified, misses many)."""
     if method == "exact":
         return edit_join.similar_edit_pairs(c.distinct, p.sim_threshold, p.block_rows)
+    if method == "hamming":
+        return hamming_bands.similar_edit_pairs_hamming(c.distinct, p.sim_threshold, p.block_rows)
     if method == "banded":
         return banded_join.similar_edit_pairs_banded(c.distinct, c.sets, p.sim_threshold, p.bands * p.rows, p.seed,
                                                      p.bands, p.rows, p.block_rows)
@@ -82,21 +84,27 @@ def compare_corpus(docs: DataFrame, p: Params = Params(), method: str = "exact")
     """``(doc1, doc2, n1, n2, lsh_similarity, edit_similarity,
     overall_similarity, flagged)`` for doc1 < doc2 with any similar pair.
 
-    ``method``: ``exact`` joins, or ``banded`` MinHash LSH candidates computed
-    once, written to the checkpoint folder and verified both ways."""
+    ``method``: ``exact`` joins, or ``banded``: candidates from bands, each verified; MinHash of the shingle sets for the
+    Jaccard pairs, the edit-to-Hamming embedding for the edit pairs. Banded results are approximate: pairs may be missed."""
     c = Corpus.of(docs, p.k)
-    if method == "banded":
-        cand = materialize(banded_join.candidates(c.sets, p.bands * p.rows, p.seed, p.bands, p.rows, p.block_rows,
-                                                  p.sim_threshold), "lsh_candidates")
-        ep = materialize(banded_join.verify_edit(cand, c.distinct, p.sim_threshold), "edit_pairs")
-        jp = materialize(banded_join.verify_jaccard(cand, c.sets, p.sim_threshold), "jaccard_pairs")
-        e = scoring.ratio_scores(scoring.pair_counts_self(ep, c.distinct.select("sid"), c.post, p.block_rows),
-                                 c.counts, c.counts, "edit")
-        self_sim = c.sets.where(F.size("set") > 0).select("sid")
-        ls = scoring.ratio_scores(scoring.pair_counts_self(jp, self_sim, c.post, p.block_rows),
-                                  c.counts, c.counts, "lsh")
-        return scoring.combine(ls, e, p.flag_threshold)
-    return scoring.combine(lsh_scores(c, p, method), edit_scores(c, p, method), p.flag_threshold)
+    by = {"exact": ("exact", "exact"), "banded": ("banded", "hamming")}[method]
+    return scoring.combine(lsh_scores(c, p, by[0]), edit_scores(c, p, by[1]), p.flag_threshold)
+
+
+def flagged_pairs(docs: DataFrame, p: Params = Params(), method: str = "exact") -> DataFrame:
+    """The flagged rows of ``compare_corpus`` without the table of all pairs.
+
+    The overall score is a mean, so one of the two must reach the threshold: pairs that can are found for each score, and
+    only those are scored, both ways."""
+    c = Corpus.of(docs, p.k)
+    by = {"exact": ("exact", "exact"), "banded": ("banded", "hamming")}[method]
+    found = {"lsh": (jaccard_pairs(c, p, by[0]), c.sets.where(F.size("set") > 0)), "edit": (edit_pairs(c, p, by[1]), c.distinct)}
+    weights = {k: materialize(scoring.all_weights(materialize(similar, k + "_pairs"), same, c.post, p.block_rows), k + "_weights")
+               for k, (similar, same) in found.items()}
+    reach = [scoring.reaching_pairs(w, c.post, c.counts, p.flag_threshold, p.block_rows) for w in weights.values()]
+    pairs = materialize(reach[0].unionByName(reach[1]).distinct(), "reaching_pairs")
+    lsh, edit = (scoring.ratio_scores(scoring.counts_of(pairs, weights[k], c.post), c.counts, c.counts, k) for k in ("lsh", "edit"))
+    return scoring.combine(lsh, edit, p.flag_threshold).where("flagged")
 
 
 def compare_corpora(left: DataFrame, right: DataFrame, p: Params = Params()) -> DataFrame:

@@ -419,12 +419,64 @@ def lsh_edit_pairs(num_perm: int, seed: int, bands: int, rows: int) -> str:
              _band_pairs_cte(num_perm, seed, bands, rows))
 
 
+def _mixed(*parts: str) -> str:
+    """The formula of the embedding's bits and positions, as columns x0 .. x4 of one select."""
+    x0 = "xor(" * (len(parts) - 1) + f"({parts[0]} + 1)::BIGINT * 73856093"
+    for p, f in zip(parts[1:], (19349663, 83492791, 49979687)):
+        x0 += f", ({p} + 1)::BIGINT * {f})"
+    return f"""{x0} AS x0, ((x0 & 2147483647) * 2654435761) & 2147483647 AS x1, xor(x1, x1 >> 15) AS x2,
+         ((x2 & 2147483647) * 2246822519) & 2147483647 AS x3, xor(x3, x3 >> 13) AS x4"""
+
+
+# Bands of the embedding: 16 walks, 4 bands a walk, 4 positions a band, each sentence in its own length bucket and the next.
+_HAMMING = f"""
+hs AS MATERIALIZED (
+  SELECT row_number() OVER ()::INT AS id, md5(text) AS sid, text, strlen(text) AS n, floor(ln(strlen(text)) / ln(1.0 / 0.69))::INT AS bucket,
+         list_transform(range(strlen(text)), lambda i: ('0x' || substr(hex(text), 2 * i + 1, 2))::UTINYINT) AS bs
+  FROM (SELECT DISTINCT text FROM sents)),
+hsteps AS MATERIALIZED (SELECT b AS bucket, least(2048, floor(1.3 * exp(b * ln(1.0 / 0.69))) + 1)::INT AS steps
+  FROM (SELECT unnest(range((SELECT max(bucket) FROM hs) + 2)) AS b)),
+hpos AS MATERIALIZED (
+  SELECT bucket, w, band, p, (x4 % steps)::SMALLINT AS pos FROM (
+    SELECT bucket, steps, w, band, p, {_mixed("bucket", "w", "band", "p")}
+    FROM hsteps, range(16) a(w), range(4) b(band), range(4) c(p))),
+hlast AS MATERIALIZED (SELECT hs.id, max(pos) AS last FROM hs JOIN hpos ON hpos.bucket IN (hs.bucket, hs.bucket + 1) GROUP BY hs.id),
+hwalk(id, w, j, here, c) AS (
+  SELECT id, w::UTINYINT, 0::SMALLINT, 0::SMALLINT, bs[1] FROM hs, range(16) a(w)
+  UNION ALL
+  SELECT m.id, m.w, (m.j + 1)::SMALLINT, m.to_, CASE WHEN m.to_ < hs.n THEN hs.bs[m.to_ + 1] ELSE 0 END
+  FROM (SELECT id, w, j, (here + ((x4 >> 7) & 1))::SMALLINT AS to_
+        FROM (SELECT id, w, j, here, {_mixed("w", "j", "c")} FROM hwalk)) m
+  JOIN hlast ON hlast.id = m.id AND m.j < hlast.last JOIN hs ON hs.id = m.id),
+hseen AS MATERIALIZED (SELECT * FROM hwalk),
+hkey AS MATERIALIZED (
+  SELECT s.id, p.bucket, p.w, p.band, p.bucket = s.bucket AS own, string_agg(v.c::VARCHAR, ',' ORDER BY p.p) AS seen
+  FROM hs s JOIN hpos p ON p.bucket IN (s.bucket, s.bucket + 1) JOIN hseen v ON v.id = s.id AND v.w = p.w AND v.j = p.pos GROUP BY ALL),
+hcand AS MATERIALIZED (
+  SELECT DISTINCT a.id AS ia, b.id AS ib FROM hkey a JOIN hkey b
+    ON a.bucket = b.bucket AND a.w = b.w AND a.band = b.band AND a.seen = b.seen AND a.id < b.id AND (a.own OR b.own)
+  JOIN hs sa ON sa.id = a.id JOIN hs sb ON sb.id = b.id WHERE abs(sa.n - sb.n) <= 0.3 * greatest(sa.n, sb.n) + 1),
+ham_pairs AS MATERIALIZED (
+  SELECT least(a.sid, b.sid) AS sid_a, greatest(a.sid, b.sid) AS sid_b, CASE WHEN a.sid < b.sid THEN a.n ELSE b.n END AS len_a,
+         CASE WHEN a.sid < b.sid THEN b.n ELSE a.n END AS len_b, levenshtein(a.text, b.text) AS distance,
+         1.0 - distance / greatest(a.n, b.n)::DOUBLE AS similarity
+  FROM hcand JOIN hs a ON a.id = ia JOIN hs b ON b.id = ib WHERE 1.0 - levenshtein(a.text, b.text) / greatest(a.n, b.n)::DOUBLE >= {T})"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+HAMMING_EDIT_PAIRS = _recursive(q("SELECT * FROM ham_pairs", sentences_cte(), _HAMMING))
+
+
 def doc_scores_banded(num_perm: int, seed: int, bands: int, rows: int) -> str:
-    edit = _pair_scores("edit", "band_pairs", "SELECT DISTINCT md5(text) AS sid FROM sents")
-    return q("SELECT *, overall_similarity >= 0.5 AS flagged FROM combined",
-             sentences_cte(), _POST, _sets_cte(), _perms_cte(num_perm, seed),
-             _band_pairs_cte(num_perm, seed, bands, rows), edit, _BAND_JACCARD,
-             _pair_scores("lsh", "band_jac", "SELECT sid FROM sets"), _COMBINED)
+    edit = _pair_scores("edit", "ham_pairs", "SELECT DISTINCT md5(text) AS sid FROM sents")
+    return _recursive(q("SELECT *, overall_similarity >= 0.5 AS flagged FROM combined",
+                        sentences_cte(), _POST, _sets_cte(), _perms_cte(num_perm, seed),
+                        _band_pairs_cte(num_perm, seed, bands, rows), _HAMMING, edit, _BAND_JACCARD,
+                        _pair_scores("lsh", "band_jac", "SELECT sid FROM sets"), _COMBINED))
+
 
 EMBEDDING_COSINE = """
 WITH x AS (

@@ -170,7 +170,7 @@ def q_doc_scores(spark, sf):
 
 
 def q_flagged_documents(spark, sf):
-    return q_doc_scores(spark, sf).where(F.col("flagged"))
+    return jobs.flagged_pairs(_docs(spark, sf), P)
 
 
 def q_doc_report(spark, sf):
@@ -186,6 +186,11 @@ def q_lsh_edit_pairs(spark, sf):
     return jobs.edit_pairs(c, P, "banded")
 
 
+def q_hamming_edit_pairs(spark, sf):
+    c = jobs.Corpus.of(_docs(spark, sf), P.k)
+    return jobs.edit_pairs(c, P, "hamming")
+
+
 def q_lsh_jaccard_pairs(spark, sf):
     c = jobs.Corpus.of(_docs(spark, sf), P.k)
     return jobs.jaccard_pairs(c, P, "banded")
@@ -253,6 +258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_two": q_compare_two,
     "line_edit_distance": q_line_edit_distance,
     "lsh_edit_pairs": q_lsh_edit_pairs,
+    "hamming_edit_pairs": q_hamming_edit_pairs,
     "lsh_jaccard_pairs": q_lsh_jaccard_pairs,
     "doc_scores_banded": q_doc_scores_banded,
 }
@@ -287,6 +293,7 @@ ORACLES: dict[str, str] = {
     "compare_two": osql.COMPARE_TWO,
     "line_edit_distance": osql.LINE_EDIT_DISTANCE,
     "lsh_edit_pairs": osql.lsh_edit_pairs(P.bands * P.rows, P.seed, P.bands, P.rows),
+    "hamming_edit_pairs": osql.HAMMING_EDIT_PAIRS,
     "lsh_jaccard_pairs": osql.lsh_jaccard_pairs(P.bands * P.rows, P.seed, P.bands, P.rows),
     "doc_scores_banded": osql.doc_scores_banded(P.bands * P.rows, P.seed, P.bands, P.rows),
 }
