@@ -51,6 +51,9 @@ class Params:
     # Target number of rows per block in blocked pair joins: each join task
     # compares at most block_rows**2 pairs, whatever the key skew.
     block_rows: int = 2048
+    # Rows of one key from which a join with a one-row-a-key table deals the
+    # key out over several tasks.
+    salt_rows: int = 1 << 18
 
     def __post_init__(self):
         if not 1 <= self.k <= 3:

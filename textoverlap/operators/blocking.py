@@ -36,6 +36,20 @@ def _with_blocks(df: DataFrame, heavy: DataFrame, key: str, name: str) -> DataFr
     return df.join(heavy, F.col(key) == F.col("_k"), "left").drop("_k").withColumn(name, F.coalesce(name, F.lit(1)))
 
 
+def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], by: str, block_rows: int) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, which has at most one row a key.
+
+    A key of more than ``block_rows`` rows is dealt out: its rows by a hash of ``by``, its row of ``table`` once for each of
+    the blocks. The other keys are joined as they are.
+    """
+    one = F.xxhash64(*keys)
+    heavy = _heavy(rows.select(one.alias("_h")), "_h", block_rows, "_nb")
+    deal = lambda df: _with_blocks(df.withColumn("_h", one), heavy, "_h", "_nb")
+    left = deal(rows).withColumn("_s", F.pmod(F.xxhash64(by), "_nb")).drop("_nb", "_h")
+    right = deal(table).withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb").cast("long") - 1))).drop("_nb", "_h")
+    return left.join(right, [*keys, "_s"]).drop("_s")
+
+
 def _spread(left: DataFrame, right: DataFrame, key: str, partitions: int | None):
     """Hash-partition both sides on the block-pair key with a fixed count.
 

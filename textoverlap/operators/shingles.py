@@ -1,16 +1,22 @@
 """Shingle operators: k-byte shingles, weights, per-sentence sets.
 
 Shingles are produced by ``explode`` over start offsets (one byte-view decode
-per sentence, then a codegen'd substring per shingle); sets are aggregates
-over the shingle rows, whose partial step runs map-side because all shingles
-of a sentence are produced by one task.
+per sentence, then a codegen'd substring per shingle); ``set_rows`` aggregates the
+shingle rows, whose partial step runs map-side because all shingles
+of a sentence are produced by one task. ``set_arrays`` and ``shingle_stats``
+give one row a sentence and work within it, for the sentences of an Arrow batch at once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textoverlap.functions import sets
 from textoverlap.functions.shingle import code_hex, code_weight
 from textoverlap.functions.text import byte_view, shingle_code, shingle_starts
 
@@ -48,23 +54,50 @@ def ranked_set(rows: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
     return rows.select(*keys, F.row_number().over(w).alias("rank"), "code", code_hex(F.col("code"), k).alias("shingle"))
 
 
+def _with_text(df: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
+    kinds = dict(df.dtypes)
+    text = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
+    return df.select(*keys, text.alias("__text")), ", ".join(f"{c} {kinds[c]}" for c in keys)
+
+
 def set_arrays(df: DataFrame, keys: list[str], k: int = 3, kind: str = "exact") -> DataFrame:
     """``(*keys, set)``: sorted array of member codes, sentences with >= k bytes
-    only. Extra key columns that depend on the first (e.g. a length) ride along."""
-    rows = set_rows(shingles(df, keys, k), keys, kind)
-    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list("code")).alias("set"))
+    only. Made in the sentence's own row; nothing is shuffled."""
+    if kind not in ("exact", "weighted"):
+        raise ValueError(kind)
+    rows, schema = _with_text(df, keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, off in sets.runs(batch.column(len(keys))):
+                owner, code, weight = sets.shingle_rows(data, off, k)
+                if kind == "weighted":
+                    first = sets.first_by(owner, weight)
+                    owner, code = owner[first], code[first]
+                kept = sets.first_by(owner, code)
+                some = np.flatnonzero(np.diff(off) >= k)
+                begin = sets.offsets_of(owner[kept], hi - lo)
+                members = pa.ListArray.from_arrays(pa.array(np.append(begin[some], begin[-1]).astype(np.int32)), pa.array(code[kept]))
+                taken = pa.array(lo + some)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(taken) for i in range(len(keys))), members], names=[*keys, "set"])
+
+    return rows.mapInArrow(run, schema + ", set array<bigint>")
 
 
 def shingle_stats(df: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
     """Per sentence: number of shingles, exact set size, weighted set size.
 
     Set sizes are distinct counts of codes and of weights; sentences shorter
-    than k report zeros.
+    than k report zeros. Counted in the sentence's own row; nothing is shuffled.
     """
-    sh = shingles(df, keys, k)
-    st = sh.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_shingles"),
-                               F.count_distinct("code").alias("n_set_exact"),
-                               F.count_distinct("weight").alias("n_set_weighted"))
-    out = df.select(*keys).join(st, keys, "left")
-    return out.select(*keys, *[F.coalesce(F.col(c), F.lit(0)).alias(c)
-                               for c in ("n_shingles", "n_set_exact", "n_set_weighted")])
+    rows, schema = _with_text(df, keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, off in sets.runs(batch.column(len(keys))):
+                owner, code, weight = sets.shingle_rows(data, off, k)
+                counts = [np.bincount(o, minlength=hi - lo) for o in (owner, *(owner[sets.first_by(owner, v)] for v in (code, weight)))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(len(keys))), *map(pa.array, counts)],
+                                                 names=[*keys, "n_shingles", "n_set_exact", "n_set_weighted"])
+
+    return rows.mapInArrow(run, schema + ", n_shingles long, n_set_exact long, n_set_weighted long")

@@ -184,6 +184,30 @@ SELECT conv_id, line_a, line_b, distance, 1.0 - distance / longest::DOUBLE AS si
 FROM p WHERE 1.0 - distance / longest::DOUBLE >= 0.3"""
 
 
+# vocabulary and as many permutations as lines for each conversation, every pair of turns
+LINE_COSINE = f"""
+WITH l AS MATERIALIZED (
+  SELECT conv_id, turn, t, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM (SELECT conv_id, turn, regexp_replace(translate(text, '{UPPER}', '{LOWER}'), '^ ', '') AS t FROM conversations)
+  WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND t IS NOT NULL),
+sh AS MATERIALIZED (
+  SELECT conv_id, turn, n, spos, x AS code, ('0x' || substr(x, 1, 2))::INT + ('0x' || substr(x, 3, 2))::INT * 2
+         + ('0x' || substr(x, 5, 2))::INT * 3 AS weight
+  FROM (SELECT *, substr(hex(t), 2 * spos - 1, 6) AS x FROM (SELECT *, unnest(range(1, strlen(t) - 1)) AS spos FROM l WHERE strlen(t) >= 3))),
+v AS (SELECT conv_id, code, row_number() OVER (PARTITION BY conv_id ORDER BY f) AS vid
+      FROM (SELECT conv_id, code, min((turn, spos)) AS f FROM sh GROUP BY ALL)),
+pm AS MATERIALIZED (SELECT w.conv_id, w.turn, w.n, v.vid FROM (SELECT conv_id, turn, n, weight, arg_min(code, spos) AS code FROM sh GROUP BY ALL) w
+       JOIN v ON v.conv_id = w.conv_id AND v.code = w.code),
+perm AS (
+  SELECT j, 1 + ((j * j % 2147483647) * 48271 + j * 16807 + 20240601) % 2147483646 AS a,
+         ((j * j % 2147483647) * 69621 + j * 40692 + 1062042) % 2147483647 AS b FROM (SELECT unnest(range(1, (SELECT max(n) FROM pm) + 1)) AS j)),
+sig AS (SELECT conv_id, turn, j, arg_min(vid, (a * vid + b) % 2147483647) AS vid FROM pm JOIN perm ON j <= n GROUP BY ALL),
+vec AS MATERIALIZED (SELECT conv_id, turn, list(vid::DOUBLE ORDER BY j) AS v, sqrt(sum(vid * vid)::DOUBLE) AS norm FROM sig GROUP BY ALL),
+p AS (SELECT a.conv_id, a.turn AS line_a, b.turn AS line_b, list_dot_product(a.v, b.v) / (a.norm * b.norm) AS cosine
+      FROM vec a JOIN vec b ON a.conv_id = b.conv_id AND a.turn < b.turn)
+SELECT *, printf('Cosine Similarity between Sentence %d and %d is %f.', line_a, line_b, cosine) AS line FROM p WHERE cosine >= 0.7"""
+
+
 def _sets_cte(src: str = "sents", name: str = "sets") -> str:
     return f"""
 {name}_tok AS (

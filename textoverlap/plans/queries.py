@@ -15,11 +15,13 @@ from textoverlap.config import Params
 from textoverlap.functions.text import ascii_lower, delimiter_count
 from textoverlap.functions.vectors import cosine, cosine_from_sums, magnitude
 from textoverlap.operators import jaccard_join, edit_join
+from textoverlap.operators.blocking import salted_join
 from textoverlap.operators.sentences import sentence_counts, sentence_id, sentences
 from textoverlap.operators.shingles import ranked_set, set_rows, shingle_stats, shingles
 from textoverlap.operators.signatures import minhash
 from textoverlap.operators.vocabulary import vocabulary
-from textoverlap.operators.report import edit_distance_line, fixed4, verdict
+from textoverlap.operators.line_cosine import similar_lines_cosine
+from textoverlap.operators.report import cosine_lines, edit_distance_lines, fixed4, verdict
 from textoverlap.plans import jobs
 from textoverlap.plans import oracle_sql as osql
 from textoverlap.session import materialize
@@ -32,8 +34,9 @@ LISTED_SIMILARITY = 0.3
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    # the given tables are single row groups, which scan as one task: deal the texts out
-    return read_documents(spark, sf).repartition(2 * spark.sparkContext.defaultParallelism, "doc_id")
+    docs, cores = read_documents(spark, sf), spark.sparkContext.defaultParallelism
+    # a table of fewer splits than cores (a single row group scans as one task) is dealt out; others are read as they are
+    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(2 * cores, "doc_id")
 
 
 def _sents(spark, sf):
@@ -95,7 +98,7 @@ def _members(sents):
     """``(doc_id, pos, vid)``: weighted set of each sentence in vocabulary ids."""
     sh = shingles(sents, KEYS, P.k)
     w = set_rows(sh, KEYS, "weighted")
-    return w.join(_vocab(sents, sh).select("code", "vid"), "code").select(*KEYS, "vid")
+    return salted_join(w, _vocab(sents, sh).select("code", "vid"), ["code"], "doc_id", P.salt_rows).select(*KEYS, "vid")
 
 
 def q_sentence_membership(spark, sf):
@@ -224,8 +227,13 @@ def q_line_edit_distance(spark, sf):
     """Classic mode over conversations: similar turns of one conversation, with the line of the listing."""
     turns = read_table(spark, sf, "conversations").select(F.col("conv_id").alias("grp"), F.col("turn").alias("line"), "text")
     p = edit_join.similar_lines(turns, LISTED_SIMILARITY, P.block_rows)
-    return p.select(F.col("grp").alias("conv_id"), "line_a", "line_b", "distance", "similarity",
-                    edit_distance_line().alias("line"))
+    return edit_distance_lines(p.withColumnRenamed("grp", "conv_id").select("conv_id", "line_a", "line_b", "distance", "similarity"))
+
+
+def q_line_cosine(spark, sf):
+    """Classic mode's cosine listing over conversations: turns of one conversation with similar dense vectors."""
+    turns = read_table(spark, sf, "conversations").select(F.col("conv_id").alias("grp"), F.col("turn").alias("line"), "text")
+    return cosine_lines(similar_lines_cosine(turns, P.sim_threshold, P.k, P.block_rows).withColumnRenamed("grp", "conv_id"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -257,6 +265,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_pairs": q_score_pairs,
     "compare_two": q_compare_two,
     "line_edit_distance": q_line_edit_distance,
+    "line_cosine": q_line_cosine,
     "lsh_edit_pairs": q_lsh_edit_pairs,
     "hamming_edit_pairs": q_hamming_edit_pairs,
     "lsh_jaccard_pairs": q_lsh_jaccard_pairs,
@@ -292,6 +301,7 @@ ORACLES: dict[str, str] = {
     "score_pairs": osql.SCORE_PAIRS,
     "compare_two": osql.COMPARE_TWO,
     "line_edit_distance": osql.LINE_EDIT_DISTANCE,
+    "line_cosine": osql.LINE_COSINE,
     "lsh_edit_pairs": osql.lsh_edit_pairs(P.bands * P.rows, P.seed, P.bands, P.rows),
     "hamming_edit_pairs": osql.HAMMING_EDIT_PAIRS,
     "lsh_jaccard_pairs": osql.lsh_jaccard_pairs(P.bands * P.rows, P.seed, P.bands, P.rows),
