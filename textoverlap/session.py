@@ -88,15 +88,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(tables_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
+    free_shuffles(spark)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """From now on the shuffle files of a query of this session go when it has ended (a DataFrame that is used again is
+    planned anew and does not read them). Set once; queries of other threads see the same value."""
+    if spark.conf.get(_CLEANUP, "false") != "true":
+        spark.conf.set(_CLEANUP, "true")
+
+
 def drop_tables(spark: SparkSession) -> None:
     """Delete this application's intermediate tables, once no frame over them is used any more."""
     jvm = spark.sparkContext._jvm
