@@ -246,6 +246,44 @@ def test_warc_broken_records():
             warc._assembled(wrong, total)
 
 
+def test_warc_reads_on_after_broken_records(spark, tmp_path):
+    """Plain, gzip and one stream a record; a record that is cut off, one without a length, noise, a wrong digest, a lost segment."""
+    import gzip
+    ok = lambda i, body, size=10_000: list(warc._records(i, "http://a/", body, __import__("hashlib").sha256(body).hexdigest(), None, size))
+    end = b"\r\n\r\n"
+    good, cut, long = ok(1, b"one")[0], ok(2, b"two")[0][:-3], ok(3, b"three" * 100, 200)
+    unsized = good.replace(b"Content-Length", b"Content-Size").replace(b"Page-ID: 1", b"Page-ID: 4")
+    wrong = ok(5, b"five")[0].replace(b"five", b"fivE")
+    data = b"noise\n" + good + end + cut + end + unsized + end + wrong + end + b"".join(x + end for x in long) + ok(6, b"")[0] + end
+    (tmp_path / "a.warc").write_bytes(data)
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(ok(7, b"seven")[0] + end))
+    (tmp_path / "c.warc.gz").write_bytes(b"".join(gzip.compress(x + end) for x in ok(8, b"eight") + ok(9, b"nine" * 200, 300)[:-1]))
+    (tmp_path / "d.warc.gz").write_bytes(b"\x1f\x8bbroken")
+    (tmp_path / "e.warc").write_bytes(b"")
+    rows = warc.read(spark, f"file://{tmp_path}").collect()
+    fine = {r.page_id: bytes(r.payload) for r in rows if r.problem is None}
+    assert fine == {1: b"one", 3: b"three" * 100, 6: b"", 7: b"seven", 8: b"eight"}
+    reasons = sorted(r.problem.split(": ")[-1] for r in rows if r.problem)
+    assert reasons == ["content-length missing", "last segment missing", "no WARC header", "payload digest differs", "record is cut off"]
+    assert all(r.payload is None and r.payload_bytes is None for r in rows if r.problem)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_warc_and_url_rules_on_odd_tables(spark, empty, monkeypatch):
+    rows = [] if empty else [(1, "http://net/x", "a" * 200), (1, "http://net/x", "a" * 200), (2, None, "a" * 200), (None, None, None), (3, "http://é/\t", ""),
+                             (4, "x" * 3000, "b" * 200_000), (5, "http://org/fr/", "b" * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("clash") for c in CLASHING}).repartition(3)
+    for limit in (1 << 17, 0):  # digests broadcast, or payloads shuffled by digest
+        monkeypatch.setattr(warc, "BROADCAST_DIGESTS", limit)
+        out = warc.round_trip(pages).collect()
+        assert sorted((r.page_id or 0, r.record_type, r.refers_to or 0, r.payload_bytes) for r in out) == ([] if empty else [
+            (0, "response", 0, 0), (1, "response", 0, 200), (1, "response", 0, 200), (2, "revisit", 1, 200), (3, "response", 0, 0),
+            (4, "response", 0, 200_000), (5, "revisit", 4, 200_000)])
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")
+    judged = url_rules.judge(pages, rules).select("row.page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted((r.page_id or 0, r.rule or "") for r in judged) == ([] if empty else [(0, ""), (1, "net/"), (1, "net/"), (2, ""), (3, ""), (4, ""), (5, "org/fr/")])
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_odd_inputs(spark, empty):
     """Every operator and stage on nulls, empty and long texts, repeated rows, clashing names and an empty table."""

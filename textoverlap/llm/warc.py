@@ -6,9 +6,12 @@ number; the last carries the total length. Of pages with equal payloads of at le
 with the smallest page_id is a response; the others are revisit records without a body. The sink's commit protocol
 makes a lost task's files invisible, on any file system that Spark writes to.
 
-Reading: files are parsed by their Content-Length headers; records are grouped by origin, ordered by segment number,
-checked for gaps and for the total length, and the chunked framing is decoded and checked. A group holds the segments
-of one record. A record that fails has its reason in ``problem`` instead of a payload.
+Files are gzip streams; the reader takes plain files and files of one stream a record as well.
+
+Reading: files are parsed by their Content-Length headers. A record without a segment number is decoded where it is read;
+only segments are shuffled: grouped by origin, ordered by number, checked for gaps and for the total length. The
+chunked framing is decoded and checked. A group holds the segments of one record. A record that fails has its reason in
+``problem`` instead of a payload; after one that cannot be parsed, reading goes on at the next line that begins a record.
 
 Defined cases: a null html is an empty payload; a null page_id is written without its header and read as null, and is a
 revisit of any numbered page with its payload; rows that repeat the smallest page_id are responses; control characters
@@ -20,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,12 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textoverlap.llm.common import materialize
-from textoverlap.session import tables_dir
+from textoverlap.session import free_shuffles, tables_dir
 
 MIN_BYTES = 100
 SEGMENT_BYTES = 64 << 10
 CHUNK_BYTES = 8 << 10
 RECORDS_PER_FILE = 256  # a file is read as one value: at most this many segments
+BROADCAST_DIGESTS = 1 << 17  # repeated payloads whose digests are broadcast, about 100 bytes each
 _END = "\r\n\r\n"
 
 
@@ -43,6 +48,9 @@ def _decided(pages: DataFrame, min_bytes: int) -> DataFrame:
                          payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
     first = (ready.where(F.octet_length("payload") >= min_bytes).groupBy("digest")
              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    first = materialize(first, "warc_firsts")
+    if first.count() <= BROADCAST_DIGESTS:  # else the payloads are shuffled by digest
+        first = F.broadcast(first)
     out = ready.join(first, "digest", "left")
     later = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.octet_length("payload") >= min_bytes)
     return out.withColumn("first", F.when(later, F.col("first")))
@@ -112,49 +120,89 @@ def write(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_BYTES, min
                 yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
 
     records = _decided(pages, min_bytes).select("page_id", "url", "payload", "digest", "first").mapInArrow(run, "record binary")
-    (records.select(F.col("record").cast("string").alias("value")).write.mode("errorifexists")
+    free_shuffles(pages.sparkSession)
+    (records.select(F.col("record").cast("string").alias("value")).write.mode("errorifexists").option("compression", "gzip")
      .option("lineSep", _END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder))
 
 
 _SEGMENT = ("record_id string, type string, page_id long, digest string, refers_to long, origin string, number int, "
-            "total long, block binary")
+            "total long, block binary, problem string")
+
+
+def _record(data: bytes, at: int) -> tuple[tuple, int]:
+    """The record at ``at`` as a row of ``_SEGMENT`` and where the next one starts; ValueError if it is none."""
+    head = data.find(b"\r\n\r\n", at)
+    if not data.startswith(b"WARC/", at) or head < 0:
+        raise ValueError("no WARC header")
+    lines = data[at:head].decode("utf-8", "replace").split("\r\n")[1:]
+    field = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+    for name in ("content-length", "warc-record-id", "warc-type"):
+        if name not in field:
+            raise ValueError(f"{name} missing")
+
+    def number(name: str) -> int | None:
+        if name not in field:
+            return None
+        if not field[name].lstrip("-").isdigit():
+            raise ValueError(f"{name} is no number")
+        return int(field[name])
+
+    size, begin, own = number("content-length"), head + 4, field["warc-record-id"]
+    if size < 0 or data[begin + size:begin + size + 4] != b"\r\n\r\n":
+        raise ValueError("record is cut off")
+    row = (own, field["warc-type"], number("warc-page-id"), field.get("warc-payload-digest", "").removeprefix("sha256:") or None,
+           number("warc-refers-to-page-id"), field.get("warc-segment-origin-id", own), number("warc-segment-number"),
+           number("warc-segment-total-length"), data[begin:begin + size], None)
+    return row, begin + size + 4
 
 
 def parse(data: bytes) -> Iterator[tuple]:
-    """The records of a WARC file as rows of ``_SEGMENT``; the origin of a record that is no continuation is itself."""
+    """The records of a WARC file as rows of ``_SEGMENT``; the origin of a record that is no continuation is itself. What cannot be
+    parsed is a row with the reason in ``problem``, up to the next line that begins a record."""
     at = 0
     while at < len(data):
-        head = data.find(b"\r\n\r\n", at)
-        if not data.startswith(b"WARC/", at) or head < 0:
-            raise ValueError(f"no WARC record at byte {at}")
-        lines = data[at:head].decode("utf-8", "replace").split("\r\n")[1:]
-        field = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        size, begin = int(field["content-length"]), head + 4
-        if data[begin + size:begin + size + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} is cut off")
-        number = lambda name: int(field[name]) if name in field else None
-        own = field["warc-record-id"]
-        yield (own, field["warc-type"], number("warc-page-id"), field.get("warc-payload-digest", "").removeprefix("sha256:") or None,
-               number("warc-refers-to-page-id"), field.get("warc-segment-origin-id", own), number("warc-segment-number") or 1,
-               number("warc-segment-total-length"), data[begin:begin + size])
-        at = begin + size + 4
+        try:
+            row, at = _record(data, at)
+            yield row
+        except ValueError as e:
+            yield (None,) * 9 + (f"byte {at}: {e}",)
+            found = data.find(b"\nWARC/", at)
+            at = found + 1 if found >= 0 else len(data)
+
+
+def unpacked(data: bytes) -> bytes:
+    """The file without gzip, of one stream or of many; what a broken stream still gives."""
+    out = []
+    while data.startswith(b"\x1f\x8b"):
+        stream = zlib.decompressobj(31)
+        try:
+            out += [stream.decompress(data), stream.flush()]
+        except zlib.error:
+            break
+        data = stream.unused_data
+    else:
+        out.append(data)
+    return b"".join(out)
 
 
 def segments(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record of the archives in ``folder``."""
     names = [f.split(" ")[0] for f in _SEGMENT.split(", ")]
-    kinds = [{"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[f.split(" ")[1]] for f in _SEGMENT.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                rows = list(parse(batch.column(0)[i].as_py()))
+                rows = list(parse(unpacked(batch.column(0)[i].as_py())))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), _kinds(_SEGMENT))], names=names)
 
     return spark.read.format("binaryFile").load(folder).select("content").mapInArrow(run, _SEGMENT)
 
 
+def _kinds(schema: str) -> list[pa.DataType]:
+    return [{"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[f.split(" ")[1]] for f in schema.split(", ")]
+
+
 def _assembled(parts: list[dict], total: int | None) -> bytes:
     """Payload of a response from its segments."""
     parts = sorted(parts, key=lambda x: x["number"])
@@ -175,39 +223,59 @@ def _assembled(parts: list[dict], total: int | None) -> bytes:
 _PAYLOAD = "record_id string, type string, page_id long, refers_to long, payload binary, payload_bytes long, payload_digest string, problem string"
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
+def _decoded(head: dict, parts: list[dict], total: int | None, payloads: bool) -> tuple:
+    """A response or revisit as a row of ``_PAYLOAD``, from its first record's fields and its segments."""
+    payload, size, digest, problem = None, None, None, head.get("problem")
+    if not problem and head["type"] == "revisit":
+        digest = head["digest"]
+    elif not problem:
+        try:
+            payload = _assembled(parts, total)
+            size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+            if head["digest"] and head["digest"] != digest:
+                problem, payload, size = "payload digest differs", None, None
+        except ValueError as e:
+            problem = str(e)
+    return (head.get("record_id"), head.get("type"), head.get("page_id"), head.get("refers_to"), payload if payloads else None, size, digest, problem)
+
+
+def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """One row per response or revisit of the archives: ``record_id, type, page_id, refers_to, payload, payload_bytes,
-    payload_digest, problem``. A revisit has no payload, and the digest from its header."""
+    payload_digest, problem``. A revisit has no payload, and the digest from its header. Without ``payloads`` they are
+    decoded, checked and measured, but not returned."""
+    fields, out_names = [f.split(" ")[0] for f in _SEGMENT.split(", ")], [f.split(" ")[0] for f in _PAYLOAD.split(", ")]
+    both = _PAYLOAD + ", origin string, number int, total long, digest string, block binary"
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Records without a segment number become results; segments stay what they are."""
+        for batch in batches:
+            for i in range(0, batch.num_rows, 64):
+                rows = []
+                for r in batch.slice(i, 64).to_pylist():
+                    if r["number"] is None and r["record_id"] == r["origin"]:
+                        rows.append(_decoded(r, [{"number": 1, "block": r["block"]}], r["total"], payloads) + (None,) * 5)
+                    else:
+                        rows.append((r["record_id"], r["type"], r["page_id"], r["refers_to"], None, None, None, None,
+                                     r["origin"], r["number"] or 1, r["total"], r["digest"], r["block"]))
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), _kinds(both))], names=[f.split(" ")[0] for f in both.split(", ")])
+
+    seen = materialize(segments(spark, folder).select(*fields).mapInArrow(whole, both), "warc_records")
     head = F.struct("type", "page_id", "digest", "refers_to")
-    whole = segments(spark, folder).groupBy("origin").agg(
+    groups = seen.where("block IS NOT NULL").groupBy("origin").agg(
         F.max(F.when(F.col("record_id") == F.col("origin"), head)).alias("head"), F.max("total").alias("total"),
         F.collect_list(F.struct("number", "block")).alias("parts"))  # the segments of one record
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split(" ")[0] for f in _PAYLOAD.split(", ")]
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.string()]
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
                 rows = []
                 for r in batch.slice(i, 64).to_pylist():
-                    h, payload, digest, problem = r["head"] or {}, None, None, None
-                    if not h:
-                        problem = "first segment missing"
-                    elif h["type"] == "revisit":
-                        digest = h["digest"]
-                    else:
-                        try:
-                            payload = _assembled(r["parts"], r["total"])
-                            digest = hashlib.sha256(payload).hexdigest()
-                            if h["digest"] and h["digest"] != digest:
-                                problem, payload = "payload digest differs", None
-                        except ValueError as e:
-                            problem = str(e)
-                    rows.append((r["origin"], h.get("type"), h.get("page_id"), h.get("refers_to"), payload,
-                                 None if payload is None else len(payload), digest, problem))
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
+                    first = (r["head"] or {"problem": "first segment missing"}) | {"record_id": r["origin"]}
+                    rows.append(_decoded(first, r["parts"], r["total"], payloads))
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), _kinds(_PAYLOAD))], names=out_names)
 
-    return whole.select("origin", "head", "total", "parts").mapInArrow(run, _PAYLOAD)
+    parts = groups.select("origin", "head", "total", "parts").mapInArrow(joined, _PAYLOAD)
+    return seen.where("block IS NULL").select(*out_names).unionByName(parts)
 
 
 def round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -216,7 +284,7 @@ def round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, min_bytes:
     spark = pages.sparkSession
     folder = os.path.join(tables_dir(spark), f"warc-{uuid.uuid4().hex}")
     write(pages, folder, segment_bytes, min_bytes)
-    got = materialize(read(spark, folder).drop("payload"), "warc_read")
+    got = materialize(read(spark, folder, payloads=False).drop("payload"), "warc_read")
     sizes = (got.where("type = 'response' and payload_bytes >= %d" % min_bytes).groupBy("page_id", "payload_digest")
              .agg(F.max("payload_bytes").alias("size")).select(F.col("page_id").alias("p"), F.col("payload_digest").alias("d"), "size"))
     out = got.join(sizes, (F.col("refers_to") == F.col("p")) & (F.col("payload_digest") == F.col("d")), "left")
