@@ -28,6 +28,10 @@ def _heavy(df: DataFrame, key: str, block_rows: int, name: str) -> DataFrame:
     n = F.count(F.lit(1))
     heavy = (df.groupBy(key).agg(n.alias("_n")).where(F.col("_n") > block_rows)
              .select(F.col(key).alias("_k"), F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias(name)))
+    return _small(heavy)
+
+
+def _small(heavy: DataFrame) -> DataFrame:
     heavy = materialize(heavy, "heavy_keys")
     return F.broadcast(heavy) if heavy.count() <= BROADCAST_KEYS else heavy
 
@@ -36,14 +40,19 @@ def _with_blocks(df: DataFrame, heavy: DataFrame, key: str, name: str) -> DataFr
     return df.join(heavy, F.col(key) == F.col("_k"), "left").drop("_k").withColumn(name, F.coalesce(name, F.lit(1)))
 
 
-def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], by: str, block_rows: int) -> DataFrame:
+def salted_join(rows: DataFrame, table: DataFrame, keys: list[str], by: str, block_rows: int, counts: DataFrame | None = None) -> DataFrame:
     """Inner join of ``rows`` with ``table``, which has at most one row a key.
 
     A key of more than ``block_rows`` rows is dealt out: its rows by a hash of ``by``, its row of ``table`` once for each of
-    the blocks. The other keys are joined as they are.
+    the blocks. The other keys are joined as they are. ``counts``: the keys and ``n``, where the rows of a key are known
+    already (keys that are missing there have few).
     """
     one = F.xxhash64(*keys)
-    heavy = _heavy(rows.select(one.alias("_h")), "_h", block_rows, "_nb")
+    if counts is None:
+        heavy = _heavy(rows.select(one.alias("_h")), "_h", block_rows, "_nb")
+    else:
+        heavy = counts.where(F.col("n") > block_rows).groupBy(one.alias("_k")).agg(F.ceil(F.max("n") / F.lit(block_rows)).cast("int").alias("_nb"))
+        heavy = _small(heavy)
     deal = lambda df: _with_blocks(df.withColumn("_h", one), heavy, "_h", "_nb")
     left = deal(rows).withColumn("_s", F.pmod(F.xxhash64(by), "_nb")).drop("_nb", "_h")
     right = deal(table).withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb").cast("long") - 1))).drop("_nb", "_h")
