@@ -62,6 +62,34 @@ def test_substring_dedup_of_dense_repeats(spark):
     assert all(len(r.kept_text.split()) == r.n_words - r.n_removed for r in out)
 
 
+def test_substring_dedup_deals_out_hot_anchors(spark, monkeypatch):
+    """A passage and its near copies in most documents, with blocks of a few rows: the same words go."""
+    monkeypatch.setattr(substring, "HOT_ROWS", 3)
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(80):
+        x = base[rnd.randrange(5):55 + rnd.randrange(5)]
+        x[rnd.randrange(len(x))] = rnd.choice(["w1", "new"])
+        rows.append((i // 2 if i > 70 else i, " ".join([f"n{rnd.randrange(9)}"] * rnd.randrange(4) + x)))
+    rows = list(dict(rows).items())
+    got = sorted(tuple(r) for r in substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), texts=False).drop("kept_text").collect())
+    assert got == brute.removed(rows)
+
+
+@pytest.mark.parametrize("shift", [4, 6])
+def test_anchors_of_long_and_short_texts_agree(monkeypatch, shift):
+    """Texts of more than 2 ** _SHIFT words rank their places in another way: the windows' anchors stay the same."""
+    r = np.random.default_rng(shift)
+    hashes = r.integers(0, 1 << 63, 300).astype(np.uint64) << np.uint64(1)
+    hashes[100:140] = hashes[20:60]
+    woff = np.array([0, 90, 90, 300])
+    want = substring._anchors(hashes, woff, 20, 5)
+    monkeypatch.setattr(substring, "_SHIFT", shift)
+    got = substring._anchors(hashes, woff, 20, 5)
+    assert all((a == b).all() for a, b in zip(got, want))
+
+
 def test_simhash(spark, docs):
     got = {r.doc_id: (r.fp & (1 << 64) - 1, r.component_id) for r in simhash.near_duplicates(docs).collect()}
     fps = {d: brute.fingerprint(t) for d, t in texts(docs)}
@@ -179,6 +207,38 @@ def test_sharding(spark, docs):
     assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
 
 
+def test_shards_equal_a_plain_tree(spark, docs):
+    """The same cuts as a K-d tree that sorts every node's rows in memory."""
+    ready = sharding._prepared(docs, ("source", "lang")).select("doc_id", "size", "coords", "tie").collect()
+    want = {}
+
+    def cut(rows, shards, first):
+        if shards == 1 or not rows:
+            want.update({r.doc_id: first for r in rows})
+            return
+        dim = max(range(3), key=lambda i: (max(r.coords[i] for r in rows) - min(r.coords[i] for r in rows), -i))
+        place = lambda r: (r.coords[dim] << sharding._TIE) + r.tie
+        goal = sum(r["size"] for r in rows) * (shards // 2) / shards
+        upto, at = 0, None
+        for r in sorted(rows, key=place):
+            if upto + r["size"] >= goal - 0.5:
+                at = place(r) if abs(upto + r["size"] - goal) <= abs(upto - goal) else place(r) - 1
+                break
+            upto += r["size"]
+        cut([r for r in rows if place(r) <= at], shards // 2, first)
+        cut([r for r in rows if place(r) > at], shards - shards // 2, first + shards // 2)
+
+    cut(ready, 7, 0)
+    assert {r.doc_id: r.shard for r in sharding.shard(docs, 7, tolerance=0.0).collect()} == want
+
+
+def test_mixing_of_null_and_repeated_ids_is_repeatable(spark):
+    rows = [(None if i % 2 else 5, f"w{i} " * 3, "ab"[i % 3 == 0]) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = [sorted((r.row.text, r.copies) for r in mixing.mix(df.repartition(n)).collect()) for n in (1, 7)]
+    assert taken[0] == taken[1] and {c for _, c in taken[0]} != {taken[0][0][1]}
+
+
 def test_mixing_targets(spark):
     sources = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 1000), ("d", 5), (None, 100), ("e", 0)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.targets(sources).collect()}

@@ -10,7 +10,7 @@ Targets: the budget (all words) is shared by weight; a source's target stops at
 is shared again by weight until none is above.
 
 Defined cases: null and blank texts have size 0; the null source is one source, the last; rows that repeat a doc_id
-are rows of their own in any order; a source without words has target 0; empty tables give empty results; all
+are rows of their own, ordered by a hash of id and text (rows that repeat both are alike); a source without words has target 0; empty tables give empty results; all
 columns of the input are kept as they are in ``row``.
 """
 
@@ -27,8 +27,10 @@ CAP = 3
 RANGE_ROWS = 2048  # rows of the largest source per key range, about
 
 
-def _key(doc_id: Column) -> Column:
-    return F.md5(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8"))
+def _key(doc_id: Column, text: Column) -> Column:
+    """Of the id and the text: rows that share an id, or have none, lie apart and in a fixed order."""
+    of_text = F.md5(F.encode(F.coalesce(text, F.lit("")), "UTF-8"))
+    return F.md5(F.encode(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), of_text), "UTF-8"))
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -55,7 +57,7 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int =
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """``row`` (all columns of ``docs``), ``doc_id``, ``size``, ``source_size``, ``target``, ``copies`` (times the document
     is taken) and ``taken`` (its words, repeats counted)."""
-    key = _key(docs["doc_id"])
+    key = _key(docs["doc_id"], docs["text"])
     ready = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].alias("doc_id"),
                         docs["source"].alias("source"), n_words(docs["text"]).alias("size"), key.alias("key"))
     narrow = materialize(ready.select("source", "size", F.substring("key", 1, 8).alias("key")), "sizes")

@@ -34,7 +34,7 @@ SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p
 
 OP10 = rf"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents
+  SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source COLLATE "C") AS number
   FROM d GROUP BY source

@@ -9,8 +9,8 @@ source, language or size can be cut anywhere.
 Quantiles are found for all nodes of a level together by histograms of sums, narrowed to the range of the bin that
 holds the cut until the bin weighs less than ``tolerance`` of a shard: every pass is one aggregation of at most
 nodes x ``BINS`` rows, of which one row a node comes to the driver. The tree (one entry a node) is then applied to
-every row by an expression, without a join. Slots are numbered within ranges of the row hash, after the sizes of
-the ranges before, so no shard passes through one task.
+every row by an expression, without a join. Slots are numbered within ranges of the row hash, as many as the number of rows
+asks for, after the sizes of the ranges before, so no shard passes through one task.
 
 Law: ``bytes``. Equal texts are not kept together: a group of copies may exceed a shard.
 
@@ -22,6 +22,7 @@ empty results; all columns of the input are kept as they are in ``row``.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from textoverlap.llm.common import materialize
 BINS = 1024
 RECORD_BYTES = 16     # per document beside its text
 _COORD, _TIE = 20, 40  # bits
-_RANGES = 64
+RANGE_ROWS = 4096  # rows of a shard per range in which slots are numbered, about
 
 
 class Tree:
@@ -141,10 +142,12 @@ def shard(docs: DataFrame, shards: int = 40, dimensions: tuple[str, ...] = ("sou
     """``row`` (all columns of ``docs``), ``doc_id``, ``size``, ``crc``, ``shard`` and ``slot`` (gapless from 0 in each shard)."""
     ready = _prepared(docs, dimensions)
     dims = 1 + sum(c in docs.columns for c in dimensions)
-    tree = build_tree(materialize(ready.select("size", "coords", "tie"), "metadata"), shards, dims, tolerance)
+    base = materialize(ready.select("size", "coords", "tie"), "metadata")
+    tree = build_tree(base, shards, dims, tolerance)
+    bits = min(_TIE, max(2, math.ceil(math.log2(max(1, base.count() / (shards * RANGE_ROWS))))))
     first = F.get(_array(tree.first), tree.node(F.col("coords"), F.col("tie"))).cast("int")
     placed = ready.select("row", "doc_id", "size", "crc", "tie", first.alias("shard"),
-                          F.shiftright("tie", _TIE - 6).cast("int").alias("range"))
+                          F.shiftright("tie", _TIE - bits).alias("range"))
     counts = placed.groupBy("shard", "range").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(F.col("shard").alias("s"), F.col("range").alias("r"), F.coalesce(before, F.lit(0)).alias("before"))

@@ -14,7 +14,7 @@ maximal repeat), the first occurrences are extended word by word: their windows
 union of the windows found is the set of maximal repeats of at least ``length`` words.
 
 No step pairs occurrences: a passage shared by a third of all documents is one class whose first occurrence is
-an aggregate. Hashes of anchor and context, or anchor and window, together have 128 bits.
+an aggregate, and the joins of occurrences with their anchor and class deal out keys of over ``HOT_ROWS`` rows. Hashes of anchor and context, or anchor and window, together have 128 bits.
 
 Defined cases: null and blank texts have no words and nothing is removed; texts under ``length`` words are kept;
 rows that repeat a doc_id with the same text are one document and judged alike; with different texts (or null
@@ -34,9 +34,11 @@ from pyspark.sql import functions as F
 
 from textoverlap.llm.common import materialize
 from textoverlap.llm.tokens import chunks, prefix, spans_hash, word_hashes, words
+from textoverlap.operators.blocking import salted_join
 
 LENGTH = 20
 SEED = 5
+HOT_ROWS = 1 << 14  # occurrences of an anchor or a class from which they are dealt out over several tasks
 _SHIFT = 24  # low bits of an anchor's rank give its place, so that the rightmost of equal hashes wins
 
 
@@ -191,12 +193,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, text
     keyed = same.select(F.col("id").alias("doc_id"), F.coalesce("id", F.lit((1 << 63) - 1)).alias("id"),
                         (th if several else F.lit(0).cast("long")).alias("th"), "text")
     found = _seeds(keyed, length, seed)
-    often = found.groupBy("a").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("a")
-    found = materialize(found.join(often, "a"), "repeated_anchors")
+    often = materialize(found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
+    found = materialize(salted_join(found, often.select("a"), ["a"], "id", HOT_ROWS, often), "repeated_anchors")
     first = F.struct("id", "th", "lo")
     classes = found.groupBy("a", "c").agg(F.min(first).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("k"))
     classes = materialize(classes, "contexts")
-    later = (found.join(classes.where("k > 1").select("a", "c", "first"), ["a", "c"])
+    several_times = classes.where("k > 1").select("a", "c", "first", "k")
+    later = (salted_join(found, several_times.drop("k"), ["a", "c"], "id", HOT_ROWS, several_times.withColumnRenamed("k", "n"))
              .where(first != F.col("first")).select("id", "th", "lo", "n"))
     varied = classes.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("a")
     ends = classes.join(varied, "a").select("first.id", "first.th", "first.lo", "n")
