@@ -162,7 +162,7 @@ def quality(docs: DataFrame) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns as they are; the texts are read twice and never shuffled."""
-    voted = votes(with_statistics(docs))
-    model = fit(voted.select("votes", "base_failed"))
-    return judge(voted.select("row", "votes", "base_failed"), model).where("kept").select("row.*")
+    """The rows of ``docs`` that are kept, all columns as they are. The rows are written once with their votes, so statistics are
+    computed once; the texts are never shuffled."""
+    voted = materialize(votes(with_statistics(docs)).select("row", "votes", "base_failed"), "voted_rows")
+    return judge(voted, fit(voted.select("votes", "base_failed"))).where("kept").select("row.*")
