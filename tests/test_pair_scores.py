@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_operators import brute_edit, distinct_df, docs, fixture_sentences, lev
+from textoverlap.config import Params
 from textoverlap.functions import dense
 from textoverlap.operators import hamming_bands, pair_scores, scoring
 from textoverlap.plans import jobs
@@ -51,9 +52,9 @@ def plain_cosine(a, b):
     return dot / (math.sqrt(na) * math.sqrt(nb)) if na and nb else 0.0
 
 
-def plain_scores(t1, t2):
+def plain_scores(t1, t2, k=3):
     s1, s2 = split(t1), split(t2)
-    v = plain_dense(s1 + s2)
+    v = plain_dense(s1 + s2, k)
     d = sum(plain_cosine(a, b) >= 0.7 for a in v[:len(s1)] for b in v[len(s1):])
     e = sum(1.0 - lev(a, b) / max(len(a), len(b)) >= 0.7 for a in s1 for b in s2)
     total = len(s1) * len(s2)
@@ -79,6 +80,24 @@ def test_score_pairs_equals_plain_version(spark, monkeypatch, block):
     assert all(r.overall_similarity == (r.dense_similarity + r.edit_similarity) / 2 and r.flagged == (r.overall_similarity >= 0.5) for r in rows)
 
 
+def test_shingles_of_five_bytes(spark):
+    """Sets, the exact and the banded Jaccard join and the pair scores with k = 5 against plain versions."""
+    t = texts(7, 21)
+    d = docs(spark, t)
+    p = Params(k=5, block_rows=16)
+    rows = pair_scores.score_pairs(d, d, spark.createDataFrame([(0, 1), (2, 3), (4, 6)], "doc1 long, doc2 long"), k=5).collect()
+    assert {(r.doc1, r.doc2): (r.n1, r.n2, r.dense_similarity, r.edit_similarity) for r in rows} == {
+        (a, b): plain_scores(t[a], t[b], 5) for a, b in ((0, 1), (2, 3), (4, 6))}
+    c = jobs.Corpus.of(d.unionByName(docs(spark, fixture_sentences(90, 4)).selectExpr("doc_id + 100 AS doc_id", "concat(text, '.') AS text")), 5)
+    own = {r.sid: r.text.encode() for r in c.distinct.collect()}
+    shingles = {s: {b[i:i + 5] for i in range(len(b) - 4)} for s, b in own.items()}
+    assert {r.sid: set(r["set"]) for r in c.sets.collect()} == {s: {int.from_bytes(x, "big") for x in v} for s, v in shingles.items() if v}
+    want = {frozenset((a, b)) for a, b in itertools.combinations(own, 2)
+            if shingles[a] and shingles[b] and len(shingles[a] & shingles[b]) / len(shingles[a] | shingles[b]) >= 0.7}
+    got = {m: {frozenset((r.sid_a, r.sid_b)) for r in jobs.jaccard_pairs(c, p, m).collect()} for m in ("exact", "banded")}
+    assert got["exact"] == want and got["banded"] <= want and len(got["banded"]) >= 0.9 * len(want) > 5
+
+
 def test_dense_vectors_in_steps(monkeypatch):
     """Many permutations at once or a few: the same vectors; a row without members is zero."""
     sentences = [b"a stitch in time", b"ab", b"saves nine", b"a stitch in tim"]

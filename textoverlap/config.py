@@ -29,8 +29,8 @@ REPORT_NEGATIVE = "NO PLAGIARISM DETECTED: These documents do not show significa
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-# Modulus of the seeded affine permutations (a Mersenne prime > 2**24, so
-# every 3-byte shingle code maps injectively).
+# Modulus of the seeded affine permutations, a Mersenne prime: ids below it map injectively (every 3-byte shingle code,
+# and the ids of any vocabulary below two billion shingles).
 PERM_PRIME = 2147483647
 
 
@@ -56,5 +56,5 @@ class Params:
     salt_rows: int = 1 << 18
 
     def __post_init__(self):
-        if not 1 <= self.k <= 3:
-            raise ValueError("k must be 1, 2 or 3: signatures pack a shingle's rank and id into one long")
+        if not 1 <= self.k <= 7:
+            raise ValueError("k must be 1 to 7: a shingle's bytes are one long")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from textoverlap.config import PERM_PRIME
 
-VID_BITS = 25  # ids of 3-byte shingles are < 2**24 + 1
+VID_BITS = 31  # rank and id share a long
 
 
 def permutation_coefficients(num_perm: int, seed: int) -> list[tuple[int, int, int]]:

@@ -11,14 +11,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textoverlap.config import Params
 from textoverlap.operators import banded_join, edit_join, hamming_bands, jaccard_join, pair_scores, scoring
+from textoverlap.operators.blocking import salted_join
+from textoverlap.operators.line_cosine import similar_lines_cosine
+from textoverlap.operators.report import cosine_lines, edit_distance_lines
 from textoverlap.operators.sentences import distinct_sentences, postings, sentence_counts, sentences
 from textoverlap.operators.shingles import set_arrays
+from textoverlap.operators.vocabulary import dense_rank_by
 from textoverlap.session import materialize
+from textoverlap.sources import read_numbered_lines, read_paths
 
 
 @dataclass
@@ -132,3 +137,21 @@ def compare_two(docs: DataFrame, doc1, doc2, p: Params = Params()) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     pair = docs.sparkSession.range(1).select(F.lit(doc1).cast(kind).alias("doc1"), F.lit(doc2).cast(kind).alias("doc2"))
     return score_pairs(docs, docs, pair, p)
+
+
+def compare_paths(spark: SparkSession, paths: list[str] | DataFrame, p: Params = Params(), method: str = "exact") -> DataFrame:
+    """``compare_corpus`` over a list of files; pairs with a file that cannot be read are skipped (``read_paths`` tells which)."""
+    docs = materialize(read_paths(spark, paths).where("status = 'ok'").select("doc_id", "text"), "path_documents")
+    return compare_corpus(docs, p, method)
+
+
+def line_listing(spark: SparkSession, paths: str | list[str], edit: float = 0.7, cosine: float = 0.7, p: Params = Params()) -> DataFrame:
+    """Classic mode over files of numbered lines: ``file, kind, line_a, line_b, line`` of the line pairs of a file that are
+    similar by edit distance (``kind`` 1) or by the cosine of dense vectors (2); lines are numbered by their position."""
+    lines = materialize(read_numbered_lines(spark, paths).select("file", F.col("position").alias("line"), "text"), "numbered_lines")
+    files = materialize(dense_rank_by(lines.select("file").distinct(), ["file"], "grp"), "files")
+    own = salted_join(lines, files, ["file"], "line", p.salt_rows).select("grp", "line", "text")
+    one = edit_distance_lines(edit_join.similar_lines(own, edit, p.block_rows)).select("grp", F.lit(1).alias("kind"), "line_a", "line_b", "line")
+    two = cosine_lines(similar_lines_cosine(own, cosine, p.k, p.block_rows)).select("grp", F.lit(2).alias("kind"), "line_a", "line_b", "line")
+    found = one.unionByName(two)
+    return salted_join(found, files, ["grp"], "line_a", p.salt_rows).select("file", "kind", "line_a", "line_b", "line")
