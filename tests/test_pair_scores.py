@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from test_operators import brute_edit, distinct_df, docs, fixture_sentences, lev
 from textoverlap.config import Params
 from textoverlap.functions import dense
-from textoverlap.operators import hamming_bands, pair_scores, scoring
+from textoverlap.operators import edit_join, hamming_bands, pair_scores, scoring
 from textoverlap.plans import jobs
 
 P = 2147483647
@@ -179,6 +179,40 @@ def test_hamming_pairs_are_right_and_symmetric_in_blocks(spark):
     assert found[0] == found[1] and found[0] <= exact and len(found[0]) >= 0.9 * len(exact)
 
 
+def test_two_corpora_banded_within_exact(spark):
+    """Two corpora with common sentences: what the bands find is right, and they find nearly all."""
+    left, right = docs(spark, texts(14, 31)), docs(spark, texts(11, 31)).withColumn("doc_id", F.col("doc_id") + 500)
+    scores = {m: {(r.doc1, r.doc2): r for r in jobs.compare_corpora(left, right, method=m).collect()} for m in ("exact", "banded")}
+    assert set(scores["banded"]) <= set(scores["exact"])
+    for k, r in scores["banded"].items():
+        e = scores["exact"][k]
+        assert (r.n1, r.n2) == (e.n1, e.n2) and r.edit_similarity <= e.edit_similarity and r.lsh_similarity <= e.lsh_similarity
+    whole, found = (sum(r.edit_similarity + r.lsh_similarity for r in scores[m].values()) for m in ("exact", "banded"))
+    assert len(scores["exact"]) > 50 and found >= 0.9 * whole
+    a, b = jobs.Corpus.of(left), jobs.Corpus.of(right)
+    exact = {(r.sid_a, r.sid_b) for r in edit_join.similar_edit_pairs_rs(a.distinct, b.distinct).collect()}
+    near = {(r.sid_a, r.sid_b) for r in hamming_bands.similar_edit_pairs_hamming_rs(a.distinct, b.distinct).collect()}
+    assert near <= exact and {(x, y) for x, y in exact if x == y} <= near and len(near) >= 0.9 * len(exact)
+
+
+SF001 = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF001), reason="needs the test tables")
+def test_exact_edit_join_against_every_pair(spark):
+    """All pairs of the distinct sf0.001 sentences whose lengths allow it, without the engine's buckets and byte counts."""
+    import duckdb
+    d = jobs.Corpus.of(spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")).distinct
+    con = duckdb.connect()
+    con.register("s", d.select("sid", "text").toArrow())
+    want = con.execute("""
+        WITH x AS MATERIALIZED (SELECT sid, text, strlen(text) AS n FROM s)
+        SELECT a.sid, b.sid FROM x a JOIN x b ON a.sid < b.sid AND a.n >= 0.7 * b.n AND b.n >= 0.7 * a.n
+        WHERE 1.0 - levenshtein(a.text, b.text) / greatest(a.n, b.n)::DOUBLE >= 0.7""").fetchall()
+    got = {(r.sid_a, r.sid_b) for r in edit_join.similar_edit_pairs(d).collect()}
+    assert got == set(want) and len(want) == 274
+
+
 SF01 = "/root/testdata/sf0.01"
 
 

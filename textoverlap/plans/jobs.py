@@ -112,16 +112,21 @@ def flagged_pairs(docs: DataFrame, p: Params = Params(), method: str = "exact")
     return scoring.combine(lsh, edit, p.flag_threshold).where("flagged")
 
 
-def compare_corpora(left: DataFrame, right: DataFrame, p: Params = Params()) -> DataFrame:
-    """Scores of (left document, right document) pairs with any similar pair."""
+def compare_corpora(left: DataFrame, right: DataFrame, p: Params = Params(), method: str = "exact") -> DataFrame:
+    """Scores of (left document, right document) pairs with any similar pair; ``method`` as in ``compare_corpus``."""
     a, b = Corpus.of(left, p.k), Corpus.of(right, p.k)
-    ep = materialize(edit_join.similar_edit_pairs_rs(a.distinct, b.distinct, p.sim_threshold, p.block_rows),
-                     "edit_pairs_rs")
-    e = scoring.ratio_scores(scoring.pair_counts_rs(ep, a.post, b.post, p.block_rows), a.counts, b.counts, "edit")
-    jp = materialize(jaccard_join.similar_jaccard_pairs_rs(a.sets, b.sets, p.sim_threshold, p.block_rows),
-                     "jaccard_pairs_rs")
-    ls = scoring.ratio_scores(scoring.pair_counts_rs(jp, a.post, b.post, p.block_rows), a.counts, b.counts, "lsh")
-    return scoring.combine(ls, e, p.flag_threshold)
+    t, rows = p.sim_threshold, p.block_rows
+    if method == "exact":
+        ep = edit_join.similar_edit_pairs_rs(a.distinct, b.distinct, t, rows)
+        jp = jaccard_join.similar_jaccard_pairs_rs(a.sets, b.sets, t, rows)
+    elif method == "banded":
+        ep = hamming_bands.similar_edit_pairs_hamming_rs(a.distinct, b.distinct, t, rows)
+        jp = banded_join.similar_jaccard_pairs_banded_rs(a.sets, b.sets, t, p.bands * p.rows, p.seed, p.bands, p.rows, rows)
+    else:
+        raise ValueError(method)
+    edit, lsh = (scoring.ratio_scores(scoring.pair_counts_rs(materialize(pairs, name + "_pairs_rs"), a.post, b.post, rows), a.counts, b.counts, name)
+                 for pairs, name in ((ep, "edit"), (jp, "lsh")))
+    return scoring.combine(lsh, edit, p.flag_threshold)
 
 
 def score_pairs(left: DataFrame, right: DataFrame, pairs: DataFrame, p: Params = Params()) -> DataFrame:

@@ -1,16 +1,22 @@
 """DuckDB SQL that recomputes each registered query from the raw tables.
 
-Written independently of the Spark plans: plain joins and window functions,
-brute force where it is affordable, the same exact bounds where it is not.
+Plain joins and window functions; constants are stated here on their own and none of the engine's is imported. Brute
+force where it is affordable. The oracles of the corpus-wide joins skip pairs by necessary conditions (length and
+byte counts for the edit distance, prefixes for Jaccard); ``tests`` compare those joins with brute force without them.
+The banded queries are approximate by definition, so their oracles make the same bands.
 """
 
 from __future__ import annotations
 
-from textoverlap.config import LOWER, PERM_PRIME, UPPER
-from textoverlap.operators.edit_join import HIST_CLASSES
-from textoverlap.operators.signatures import VID_BITS, permutation_coefficients
+import random
 
+from textoverlap.config import REPORT_NEGATIVE, REPORT_POSITIVE  # fixed sentences, stated once
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+PRIME = 2147483647
 T = 0.7
+# classes of bytes whose counts bound an edit distance
+HIST_CLASSES = [(c, c) for c in LOWER] + [("sp", " "), ("dg", "[0-9]")]
 
 
 def sentences_cte(table: str = "documents", id_col: str = "doc_id", name: str = "sents") -> str:
@@ -90,14 +96,15 @@ SENTENCE_MEMBERSHIP = q("SELECT doc_id, pos, vid FROM members",
 
 
 def _perms_cte(num_perm: int, seed: int) -> str:
-    vals = ", ".join(f"({j}, {a}, {b})" for j, a, b in permutation_coefficients(num_perm, seed))
+    draw = random.Random(seed)
+    vals = ", ".join(f"({j}, {draw.randrange(1, PRIME)}, {draw.randrange(0, PRIME)})" for j in range(1, num_perm + 1))
     return f"\nperms(j, a, b) AS (VALUES {vals})"
 
 
 def _sig_cte(num_perm: int, seed: int, src: str = "members", keys: str = "doc_id, pos") -> str:
     return f"""
 sig AS (
-  SELECT {keys}, j, min((((a * vid + b) % {PERM_PRIME}) << {VID_BITS}) + vid) & {(1 << VID_BITS) - 1} AS vid
+  SELECT {keys}, j, arg_min(vid, (a * vid + b) % {PRIME}) AS vid
   FROM {src} CROSS JOIN perms GROUP BY ALL)"""
 
 
@@ -292,11 +299,11 @@ _ALL_SCORES = (sentences_cte(), _POST, _edit_pairs_cte(), _EDIT_SCORES, _sets_ct
                _LSH_SCORES, _COMBINED)
 DOC_SCORES = q("SELECT *, overall_similarity >= 0.5 AS flagged FROM combined", *_ALL_SCORES)
 FLAGGED_DOCUMENTS = q("SELECT *, true AS flagged FROM combined WHERE overall_similarity >= 0.5", *_ALL_SCORES)
-DOC_REPORT = q("""SELECT doc1, doc2, printf('%.4f', lsh_similarity) AS lsh_text, printf('%.4f', edit_similarity) AS edit_text,
+DOC_REPORT = q(f"""SELECT doc1, doc2, printf('%.4f', lsh_similarity) AS lsh_text, printf('%.4f', edit_similarity) AS edit_text,
   printf('%.4f', overall_similarity) AS overall_text,
   CASE WHEN overall_similarity >= 0.5
-       THEN 'PLAGIARISM DETECTED: These documents show significant similarity.'
-       ELSE 'NO PLAGIARISM DETECTED: These documents do not show significant similarity.' END AS verdict
+       THEN '{REPORT_POSITIVE}'
+       ELSE '{REPORT_NEGATIVE}' END AS verdict
 FROM combined""", *_ALL_SCORES)
 
 
@@ -406,7 +413,7 @@ def _band_pairs_cte(num_perm: int, seed: int, bands: int, rows: int, name: str =
     per band, then the exact edit-similarity test on the candidates."""
     return f"""
 bsig AS MATERIALIZED (
-  SELECT sid, j, min((((a * code + b) % {PERM_PRIME}) << {VID_BITS}) + code) & {(1 << VID_BITS) - 1} AS code
+  SELECT sid, j, arg_min(code, (a * code + b) % {PRIME}) AS code
   FROM sets_tok CROSS JOIN perms GROUP BY sid, j),
 bandv AS MATERIALIZED (
   SELECT sid, (j - 1) // {rows} AS band, list(code ORDER BY j) AS vals FROM bsig WHERE j <= {bands * rows}
