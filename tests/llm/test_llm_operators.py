@@ -1,8 +1,10 @@
 """Operators against brute force on a given table, and on small odd inputs."""
 
+import math
 import os
 import random
 import sys
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -171,6 +173,94 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(block.forward(p), want)
 
 
+def plain_forward(word, head, pieces, p):
+    """Log probability of a word in one pass over its bytes, with exact fractions."""
+    w = (b" " if head else b"") + word
+    a = [Fraction(1)] + [Fraction(0)] * len(w)
+    number = {x: i for i, x in enumerate(pieces)}
+    for end in range(1, len(w) + 1):
+        for x in {w[i:end] for i in range(max(0, end - max(map(len, pieces))), end)} & number.keys():
+            a[end] += a[end - len(x)] * Fraction(float(p[number[x]]))
+    return a, number, w
+
+
+def log_of(x):
+    return math.log(x.numerator) - math.log(x.denominator)
+
+
+@pytest.fixture(scope="module")
+def long_words():
+    """Long runs: of one character, of two scripts, of noise; pieces that chain over many bytes; every byte is a piece."""
+    rnd = random.Random(12)
+    pieces = sorted({bytes([b]) for b in range(256)} | {"漢字".encode(), "漢".encode(), b" a", b" abc", b"ab", b"aaa", b"aaaa", b"x" * 20, b"cdcd", b"dc"})
+    words = ["漢字" * 40, "ab" * 100, "a" * 200, "x" * 130, "漢a字b" * 30, "".join(rnd.choice("abcd漢") for _ in range(400)), "abc", "é"]
+    return pieces, [w.encode() for w in words]
+
+
+def test_parts_of_long_words_keep_every_segmentation(long_words):
+    """A word of hundreds of bytes has the probability of all its segmentations, however it is cut into parts."""
+    pieces, words = long_words
+    table = langid.Pieces(pieces)
+    p = np.random.default_rng(1).random((len(pieces), 1)) * 1e-4
+    raw = np.frombuffer(b" ".join(words), dtype=np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = ends - [len(w) for w in words]
+    lo, hi, head, many = langid._parts(raw, starts, ends, table)
+    assert b" ".join(b"".join(raw[a:b].tobytes() for a, b in zip(lo[i - m:i], hi[i - m:i])) for i, m in zip(np.cumsum(many), many)) == raw.tobytes()
+    assert many[0] > 1 and many[5] > 3 and head.sum() == len(words)
+    score = np.zeros(len(lo))
+    for at, block in langid._blocks(raw, lo, hi, head, table):
+        score[at] = block.forward(p)[:, 0]
+    got = np.add.reduceat(score, np.cumsum(many) - many)
+    for w, g in zip(words, got.tolist()):
+        assert g == pytest.approx(log_of(plain_forward(w, 1, pieces, p[:, 0])[0][-1]), rel=1e-9)
+
+
+def test_expected_counts_of_long_words(long_words):
+    """Expected counts against exact fractions, where plain doubles would underflow."""
+    pieces, words = long_words
+    p = np.random.default_rng(2).random(len(pieces)) * 1e-5
+    ends = np.cumsum([len(w) for w in words])
+    weight = np.arange(1.0, len(words) + 1)
+    block = langid.Words(np.frombuffer(b"".join(words), dtype=np.uint8), ends - [len(w) for w in words], ends, np.ones(len(words), dtype=np.int64), langid.Pieces(pieces))
+    want = np.zeros(len(pieces))
+    for w, k in zip(words, weight):
+        a, number, w = plain_forward(w, 1, pieces, p)
+        longest = max(map(len, pieces))
+        b = [Fraction(0)] * len(w) + [Fraction(1)]
+        for i in range(len(w) - 1, -1, -1):
+            for x in {w[i:j] for j in range(i + 1, min(len(w), i + longest) + 1)} & number.keys():
+                b[i] += Fraction(float(p[number[x]])) * b[i + len(x)]
+        for i in range(len(w)):
+            for x in {w[i:j] for j in range(i + 1, min(len(w), i + longest) + 1)} & number.keys():
+                want[number[x]] += k * float(a[i] * Fraction(float(p[number[x]])) * b[i + len(x)] / a[-1])
+    assert np.allclose(block.expected(p, weight), want, rtol=1e-8)
+
+
+def test_fit_round_and_prediction_against_plain_version(spark, tmp_path):
+    """One round of the fit and the posterior, with a small vocabulary, by summing over all segmentations."""
+    import base64
+    pieces = sorted({bytes([b]) for b in range(256)} | {b"ab", b" a", b"ba", b" b"})
+    path = tmp_path / "small.tiktoken"
+    path.write_text("\n".join(f"{base64.b64encode(x).decode()} {i}" for i, x in enumerate(pieces) if len(x) > 1))
+    rows = [("abba ab", "x"), ("ba ab ab", "x"), ("bb aab", "y"), ("b", "y"), (None, "y"), ("abab", None)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.fit(docs, vocabulary=str(path), rounds=1, fit_texts=None, smoothing=0.1)
+    start = np.full(len(pieces), 1 / len(pieces))
+    for k, lang in enumerate("xy"):
+        want = np.full(len(pieces), 0.1)
+        for text, own in rows:
+            for w in (text or "").encode().split() if own == lang else []:
+                block = langid.Words(np.frombuffer(w, dtype=np.uint8), np.array([0]), np.array([len(w)]), np.array([1]), langid.Pieces(pieces))
+                want += block.expected(start, np.ones(1))
+        assert np.allclose(model.p[:, k], want / want.sum())
+    got = langid.predict(docs, model, [F.col("text")], "text string").collect()
+    for r in got:
+        if r.text:
+            ll = [sum(log_of(plain_forward(w, 1, pieces, model.p[:, k])[0][-1]) for w in r.text.encode().split()) for k in (0, 1)]
+            assert r.lang_pred == "xy"[int(ll[1] > ll[0])] and r.score == pytest.approx(1 / (1 + math.exp(min(ll) - max(ll))))
+
+
 def test_language_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op3_language(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()

@@ -10,8 +10,9 @@ Model: languages x pieces numbers, a few MB whatever the corpus. The fit may be
 language, taken by a hash of the text (a documented bound; prediction covers every whole text).
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, as is every text if nothing was
-learned; a longer run than ``WORD_BYTES`` bytes without white space is read in parts of that size; repeated rows
-get equal results; empty tables give empty results; further columns are ignored.
+learned; a run of any length without white space is one word (over ``PART_BYTES`` bytes it is read in parts, cut only where no piece
+of the vocabulary lies across, so the product over the parts is the sum over all segmentations of the whole); very long texts
+are read in whole; repeated rows get equal results; empty tables give empty results; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,20 +34,21 @@ from textoverlap.llm.tokens import base_powers, chunks, column_hash, prefix, spa
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 MAX_LANGUAGES = 256
-WORD_BYTES = 64
-PIECE_BYTES = 16
+PART_BYTES = 64
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 _TABLE_BITS = 20
 _BLOCK = 16384  # words that are gone through together
+_CELLS = 1 << 20  # words times bytes of the longest that are gone through together
+_STEP = 12  # bytes after which numbers are scaled back to about 1
 KNOWN_WORDS = 1 << 19  # words whose probabilities a worker remembers
 
 
 def read_vocabulary(path: str) -> list[bytes]:
-    """Pieces of at most ``PIECE_BYTES`` bytes of a tiktoken rank file; every single byte is one of them."""
+    """Pieces of a tiktoken rank file; every single byte is one of them."""
     with open(path, "rb") as f:
         pieces = {base64.b64decode(line.split()[0]) for line in f if line.strip()}
-    return sorted({p for p in pieces if len(p) <= PIECE_BYTES} | {bytes([b]) for b in range(256)})
+    return sorted(pieces | {bytes([b]) for b in range(256)})
 
 
 class Pieces:
@@ -54,6 +56,7 @@ class Pieces:
 
     def __init__(self, pieces: list[bytes]):
         size = np.array([len(p) for p in pieces])
+        self.longest = int(size.max())
         end = np.cumsum(size)
         raw = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         h = spans_hash(prefix(raw.astype(np.uint64) + np.uint64(1)), end - size, end)
@@ -94,10 +97,11 @@ class Words:
         np.cumsum((data + np.uint64(1)) * base_powers(self.width), axis=1, out=pre[:, 1:])
         pre = np.ascontiguousarray(pre.T)
         self.alive = [int(np.searchsorted(-self.size, -i, side="right")) for i in range(self.width + 1)]
+        self.longest = pieces.longest
         self.steps = []  # (end, length, words, pieces) by end
         for end in range(1, self.width + 1):
             m = self.alive[end]
-            for length in range(1, min(end, PIECE_BYTES) + 1):
+            for length in range(1, min(end, pieces.longest) + 1):
                 lo = end - length
                 on, number = pieces.find(column_hash(pre[end, :m] - pre[lo, :m], lo, length))
                 if len(on):
@@ -109,11 +113,11 @@ class Words:
         alpha[0] = 1.0
         scale, done = np.zeros(self.n), 0
         for end, length, on, number in self.steps:
-            if end - done > 16:  # keep the places that later ones are made from near 1
+            if end - done > _STEP:  # keep the places that later ones are made from near 1
                 done = end - 1
                 m = self.alive[done]
                 top = np.maximum(alpha[done, :m].max(axis=1), 1e-300)
-                alpha[max(0, done - PIECE_BYTES):done + 1, :m] /= top[:, None]
+                alpha[max(0, done - self.longest):done + 1, :m] /= top[:, None]
                 scale[:m] += np.log(top)
             alpha[end, on] += alpha[end - length, on] * p[number]
         out = np.empty((self.n, p.shape[1]))
@@ -121,37 +125,99 @@ class Words:
         return out
 
     def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Expected counts of the pieces under one language's ``p``; ``weight`` of each word in input order."""
-        alpha, beta = np.zeros((self.width + 1, self.n)), np.zeros((self.width + 1, self.n))
+        """Expected counts of the pieces under one language's ``p``; ``weight`` of each word in input order.
+
+        Both passes scale the places that are still used back to 1; ``up`` and ``down`` hold the logarithms."""
         every = np.arange(self.n)
-        alpha[0] = 1.0
-        beta[self.size, every] = 1.0
+        alpha, up = np.zeros((self.width + 1, self.n)), np.zeros((self.width + 1, self.n))
+        alpha[0], done = 1.0, 0
         for end, length, on, number in self.steps:
+            if end - done > _STEP:
+                done = end - 1
+                m, used = self.alive[done], slice(max(0, done - self.longest), done + 1)
+                top = np.where(alpha[done, :m] > 0, alpha[done, :m], 1.0)
+                alpha[used, :m] /= top
+                up[used, :m] += np.log(top)
+                up[end:, :m] = up[done, :m]
             alpha[end, on] += alpha[end - length, on] * p[number]
+        beta, down = np.zeros((self.width + 1, self.n)), np.zeros((self.width + 1, self.n))
+        beta[self.size, every], done = 1.0, self.width
         for end, length, on, number in reversed(self.steps):
+            if done - end > _STEP:  # what is read from now on: the place ``end``, and those before it that are partly summed
+                done = end
+                m, used = self.alive[done], slice(max(0, done - self.longest), done + 1)
+                top = np.where(beta[done, :m] > 0, beta[done, :m], 1.0)
+                beta[used, :m] /= top
+                down[:done + 1, :m] += np.log(top)
             beta[end - length, on] += beta[end, on] * p[number]
-        share = weight[self.order] / np.maximum(alpha[self.size, every], 1e-300)
+        share, whole = weight[self.order], np.log(np.maximum(alpha[self.size, every], 1e-300)) + up[self.size, every]
         out = np.zeros(len(p))
         for end, length, on, number in self.steps:
-            out += np.bincount(number, alpha[end - length, on] * p[number] * beta[end, on] * share[on], len(p))
+            at = end - length
+            much = np.exp(np.minimum(up[at, on] + down[end, on] - whole[on], 700))
+            out += np.bincount(number, alpha[at, on] * p[number] * beta[end, on] * much * share[on], len(p))
         return out
 
 
-def _parts(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words cut into parts of at most ``WORD_BYTES``: (starts, ends, head, number of parts per word)."""
-    many = np.maximum(1, -(-(ends - starts) // WORD_BYTES))
-    word = np.repeat(np.arange(len(starts)), many)
-    part = np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many)
-    lo = starts[word] + part * WORD_BYTES
-    return lo, np.minimum(lo + WORD_BYTES, ends[word]), (part == 0).astype(np.int64), many
+def _free(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, pieces: Pieces) -> np.ndarray:
+    """Places in ``buf``, inside the given words, that no piece lies across, the space in front of a word included."""
+    size = ends - starts
+    first = np.cumsum(size) - size
+    n = int(size.sum())
+    data = buf[np.arange(n) + np.repeat(starts - first, size)]
+    end = np.repeat(first + size, size)
+    pre, cover = prefix(data.astype(np.uint64) + np.uint64(1)), np.zeros(n + 1, dtype=np.int32)
+    head = np.minimum(first[:, None] + np.arange(pieces.longest - 1), n - 1)
+    ahead = np.column_stack([np.full(len(size), 0x20, dtype=np.uint64), data[head].astype(np.uint64)]) + np.uint64(1)
+    ahead = np.cumsum(ahead * base_powers(pieces.longest), axis=1, dtype=np.uint64)
+    for length in range(2, pieces.longest + 1):
+        for lo in range(0, n, _CELLS):
+            at = np.arange(lo, min(lo + _CELLS, n))
+            at = at[at + length <= end[at]]
+            on, _ = pieces.find(spans_hash(pre, at, at + length))
+            np.add.at(cover, at[on] + 1, 1)
+            np.add.at(cover, at[on] + length, -1)
+        fits = np.flatnonzero(size >= length - 1)
+        on, _ = pieces.find(column_hash(ahead[fits, length - 1], 0, length))
+        np.add.at(cover, first[fits[on]] + 1, 1)
+        np.add.at(cover, first[fits[on]] + length - 1, -1)
+    open_ = np.cumsum(cover)[:n] == 0
+    open_[first] = False
+    return (np.flatnonzero(open_) + np.repeat(starts - first, size)[open_]).astype(np.int64)
+
+
+def _parts(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of over ``PART_BYTES`` cut into parts of at least that many bytes at places that no piece lies across:
+    (starts, ends, head, number of parts per word)."""
+    long = np.flatnonzero(ends - starts > PART_BYTES)
+    one = np.ones(len(starts), dtype=np.int64)
+    if not len(long):
+        return starts, ends, one, one
+    free = _free(buf, starts[long], ends[long], pieces)
+    cuts = []
+    for a, z in zip(starts[long].tolist(), ends[long].tolist()):
+        k = np.searchsorted(free, a + PART_BYTES)
+        while k < len(free) and free[k] < z:
+            cuts.append(int(free[k]))
+            k = np.searchsorted(free, free[k] + PART_BYTES)
+    lo = np.sort(np.concatenate([starts, np.array(cuts, dtype=np.int64)]))
+    word = np.searchsorted(starts, lo, side="right") - 1
+    hi = np.append(lo[1:], len(buf))
+    return lo, np.minimum(hi, ends[word]), (lo == starts[word]).astype(np.int64), np.bincount(word, minlength=len(starts))
 
 
 def _blocks(raw, starts, ends, head, pieces: Pieces) -> Iterator[tuple[np.ndarray, Words]]:
     """Words in blocks of like length: (indices, block)."""
-    order = np.argsort(ends - starts + head, kind="stable")
-    for i in range(0, len(order), _BLOCK):
-        at = order[i:i + _BLOCK]
+    size = ends - starts + head
+    order = np.argsort(size, kind="stable")
+    i = 0
+    while i < len(order):
+        j = min(i + _BLOCK, len(order))
+        while j > i + 1 and (j - i) * int(size[order[j - 1]]) > _CELLS:
+            j = i + (j - i + 1) // 2
+        at = order[i:j]
         yield at, Words(raw, starts[at], ends[at], head[at], pieces)
+        i = j
 
 
 @lru_cache(maxsize=2)
@@ -191,7 +257,7 @@ class Model:
         pieces = _table(_here(self.vocabulary))[1]
         for lo, hi, buf, off in chunks(column, lower=True):
             starts, ends, woff = words(buf, off)
-            a, b, head, many = _parts(starts, ends)
+            a, b, head, many = _parts(buf, starts, ends, pieces)
             poff = np.concatenate(([0], np.cumsum(many)))[woff]
             h = spans_hash(prefix(buf.astype(np.uint64) + np.uint64(1)), a, b) ^ head.astype(np.uint64)
             own, first, back = np.unique(h, return_index=True, return_inverse=True)
@@ -203,13 +269,13 @@ class Model:
 
 def _here(path: str) -> str:
     """The vocabulary on this machine: the file itself, or the copy that Spark sent along."""
-
     return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
 
 
-def _word_table(train: DataFrame, languages: list[str]) -> DataFrame:
+def _word_table(train: DataFrame, languages: list[str], vocabulary: str) -> DataFrame:
     """``(lang, word, head, n)``: distinct words (parts) per language, as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _table(_here(vocabulary))[1]
         number = {x: i for i, x in enumerate(languages)}
         for batch in batches:
             lang = np.array([number[x] for x in batch.column(0).to_pylist()], dtype=np.int64)
@@ -217,7 +283,7 @@ def _word_table(train: DataFrame, languages: list[str]) -> DataFrame:
                 starts, ends, woff = words(buf, off)
                 if not len(starts):
                     continue
-                a, b, head, many = _parts(starts, ends)
+                a, b, head, many = _parts(buf, starts, ends, pieces)
                 who = np.repeat(np.repeat(lang[lo:hi], np.diff(woff)), many)
                 h = spans_hash(prefix(buf.astype(np.uint64) + np.uint64(1)), a, b)
                 h = h ^ (who.astype(np.uint64) * np.uint64(2) + head.astype(np.uint64))
@@ -248,13 +314,14 @@ def fit(train: DataFrame, vocabulary: str = VOCABULARY, rounds: int = 3, fit_tex
         pieces, _ = _table(vocabulary)
     except OSError as e:
         raise ValueError(f"no vocabulary at {vocabulary}") from e
+    spark.sparkContext.addFile(vocabulary)  # executors may not have it
     p = np.full((len(pieces), len(languages)), 1.0 / len(pieces))
     if not languages:
         return Model(languages, p, vocabulary)
     if fit_texts:
         share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, fit_texts / n))])
         train = train.where(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 20)) < share[F.col("lang")] * float(1 << 20))
-    table = materialize(_word_table(train, languages), "lang_words")
+    table = materialize(_word_table(train, languages, vocabulary), "lang_words")
     for _ in range(rounds):
         p = _maximise(table, p, vocabulary, smoothing)
     return Model(languages, p, vocabulary)
