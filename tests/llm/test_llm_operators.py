@@ -7,6 +7,7 @@ import sys
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +174,36 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(block.forward(p), want)
 
 
+def test_language_model_with_hot_words_and_lost_files(spark, monkeypatch):
+    """Frequent first words are dealt out by both words: the same scores. A file that has gone and too many words are errors."""
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(["the"] * 6 + ["a", "b", "cat", "dog", f"w{i}"]) for _ in range(30))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    key = [F.col("doc_id")]
+    results = []
+    for share in (2, 10_000):
+        monkeypatch.setattr(lm, "HOT_SHARE", share)
+        model = lm.fit(df, piece_bytes=200)
+        hot = len(model.pairs.hot)
+        results.append((hot, {r.doc_id: r.score for r in lm.score(df, model, key, "doc_id long").collect()}))
+    assert results[0][0] < results[1][0] and results[0][1] == pytest.approx(results[1][1], rel=1e-12)
+    kept = brute.KneserNey([brute.split(t, lower=True) + [b"\0end"] for _, t in rows])
+    for d, t in rows:
+        assert results[0][1][d] == pytest.approx(kept.score(brute.split(t, lower=True) + [b"\0end"]), rel=1e-9)
+    for name in ("p", "u", "w"):
+        lost = next(f for f in sorted(os.listdir(model.folder)) if f.startswith(name))
+        os.rename(f"{model.folder}/{lost}", f"{model.folder}/away")
+        lm._mapped.cache_clear()
+        with pytest.raises(FileNotFoundError):
+            for _, t in rows:
+                h = [x for *_, x, off in lm._tokens(iter([pa.RecordBatch.from_arrays([pa.array([t])], names=["t"])]))][0]
+                model.log10(h, np.array([0, len(h)]))
+        os.rename(f"{model.folder}/away", f"{model.folder}/{lost}")
+    monkeypatch.setattr(lm, "MAX_WORDS", 5)
+    with pytest.raises(ValueError):
+        lm.fit(df)
+
+
 def plain_forward(word, head, pieces, p):
     """Log probability of a word in one pass over its bytes, with exact fractions."""
     w = (b" " if head else b"") + word

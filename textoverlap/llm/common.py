@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textoverlap.session import checkpoint_dir, materialize
+from textoverlap.session import materialize, tables_dir
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -34,17 +34,18 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder that tasks can open as plain files.
+    """A fresh path in the folder of this application's tables that tasks can open as plain files.
 
-    Memory-mapped arrays need a mounted file system; other schemes are refused rather than replaced by a
+    Memory-mapped arrays need a mounted file system. The folder is resolved as Spark resolves it, a path without a scheme
+    against the default file system; other file systems are refused rather than replaced by a
     local folder that other machines cannot see.
     """
     import uuid
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = "/" + base[len("file:"):].lstrip("/")
-    if "://" in base:
-        raise ValueError(f"memory-mapped arrays need a mounted shared folder, not {base}")
-    path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    whole = at.getFileSystem(conf).makeQualified(at).toUri()
+    if whole.getScheme() != "file":
+        raise ValueError(f"memory-mapped arrays need a mounted shared folder, not {whole}")
+    path = os.path.join(whole.getPath(), f"{name}-{uuid.uuid4().hex}")
     os.makedirs(path)
     return path

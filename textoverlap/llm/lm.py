@@ -14,8 +14,9 @@ with the three discounts of modified Kneser-Ney from the counts of counts, n(* w
 w, g(v) = (D1 n1(v) + D2 n2(v) + D3 n3(v)) / c(v), and g = 1 for a first word that was never seen.
 
 Defined cases: null is an empty text (the end alone); repeated rows count and are scored one by one; without
-training texts every token has the probability 1 / (V + 1) = 1; an empty table gives an empty result; further columns
-are ignored.
+training texts every token has the probability 1 / (V + 1) = 1; very long texts are read in whole; an empty table gives an
+empty result; further columns are ignored. A vocabulary of 2^32 - 1 words or more is refused (ids share a long in pairs), and a
+file of the model that has gone is an error, not a count of 0.
 """
 
 from __future__ import annotations
@@ -35,7 +36,8 @@ from textoverlap.llm.tokens import chunks, mix, word_hashes, words
 
 PIECE_BYTES = 16 << 20   # text per piece of the model
 HELD = 1 << 20           # distinct keys that a task holds before it sends them on
-HOT_SHARE = 256          # a first word with over 1 / HOT_SHARE of all tokens is dealt out by both words
+HOT_SHARE = 256          # a first word with over 1 / HOT_SHARE of all tokens, or more than a piece's share of them, is dealt out by both words
+MAX_WORDS = (1 << 32) - 1
 _END = np.uint64(0x243F6A8885A308D3)  # hash that stands for the end
 
 
@@ -144,20 +146,26 @@ def _vocabulary(train: DataFrame, folder: str, pieces: int) -> tuple[Vocabulary,
         for b, keys, n in _by_bucket(batches):
             _save(f"{folder}/w{b}.npy", keys)
             _save(f"{folder}/c{b}.npy", n)
-            top = np.argsort(n)[-HOT_SHARE:]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([b]), pa.array([len(keys)]), pa.array([int(n.sum())]), pa.array([n[top].tolist()], pa.list_(pa.int64())),
-                 pa.array([top.tolist()], pa.list_(pa.int64()))], names=["bucket", "size", "tokens", "top", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([len(keys)]), pa.array([int(n.sum())])], names=["bucket", "size", "tokens"])
 
-    # one row a piece, at most HOT_SHARE counts in each
     done = (train.mapInArrow(count, "bucket int, key long, n long").repartition(pieces, "bucket")
-            .mapInArrow(write, "bucket long, size long, tokens long, top array<long>, place array<long>"))
-    found = {r["bucket"]: r for r in materialize(done, "lm_vocabulary").collect()}
-    sizes = [found[b]["size"] if b in found else 0 for b in range(pieces)]
-    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64).tolist()
-    total = sum(r["tokens"] for r in found.values())
-    hot = sorted(offsets[b] + p for b, r in found.items() for n, p in zip(r["top"], r["place"]) if n * HOT_SHARE > total)
-    return Vocabulary(folder, offsets), total, hot
+            .mapInArrow(write, "bucket long, size long, tokens long"))
+    found = {r["bucket"]: r for r in materialize(done, "lm_vocabulary").collect()}  # one row a piece
+    offsets = np.concatenate(([0], np.cumsum([found[b]["size"] if b in found else 0 for b in range(pieces)]))).astype(np.int64).tolist()
+    if offsets[-1] >= MAX_WORDS:
+        raise ValueError(f"{offsets[-1]} distinct words: ids of pairs have room for {MAX_WORDS}")
+    total, share = sum(r["tokens"] for r in found.values()), max(HOT_SHARE, pieces)
+    written = [b for b in range(pieces) if b in found]
+
+    def hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                place = np.flatnonzero(np.load(f"{folder}/c{written[i]}.npy", mmap_mode="r") * share > total)
+                yield pa.RecordBatch.from_arrays([pa.array(offsets[written[i]] + place)], names=["id"])
+
+    # fewer than ``share`` words have more than 1 / share of all tokens
+    often = train.sparkSession.range(len(written)).mapInArrow(hot, "id long").collect() if written else []
+    return Vocabulary(folder, offsets), total, sorted(r["id"] for r in often)
 
 
 class Pairs:
@@ -165,6 +173,7 @@ class Pairs:
 
     def __init__(self, folder: str, pieces: int, hot: list[int]):
         self.folder, self.pieces, self.hot = folder, pieces, np.array(hot, dtype=np.uint64)
+        self.written = np.zeros(pieces, dtype=bool)  # pieces that hold a pair at all
 
     def bucket(self, keys: np.ndarray) -> np.ndarray:
         first = keys >> np.uint64(32)
@@ -177,9 +186,8 @@ class Pairs:
         bucket = self.bucket(keys)
         order = np.argsort(bucket, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-            path = f"{self.folder}/p{bucket[part[0]]}.npy" if len(part) else ""
-            if path and os.path.exists(path):
-                have = _mapped(path)
+            if len(part) and self.written[bucket[part[0]]]:
+                have = _mapped(f"{self.folder}/p{bucket[part[0]]}.npy")  # an error if it has gone
                 pos = np.minimum(np.searchsorted(have, keys[part]), len(have) - 1)
                 hit = have[pos] == keys[part]
                 out[part[hit]] = _mapped(f"{self.folder}/n{bucket[part[0]]}.npy")[pos[hit]]
@@ -211,7 +219,8 @@ def _discounts(n: list[int]) -> tuple[float, float, float]:
 
 def _pairs(train: DataFrame, folder: str, pieces: int, vocabulary: Vocabulary, hot: list[int]) -> tuple[Pairs, DataFrame]:
     """The pairs, and a table of (kind, id, a, b, c): kind 0 a first word's numbers of followers seen once, twice, more
-    often; kind 1 a second word's distinct first words (in ``a``); kind 2 the number of pairs seen ``id`` times."""
+    often; kind 1 a second word's distinct first words (in ``a``); kind 2 the number of pairs seen ``id`` times; kind 3 the
+    pieces that are written."""
     size = vocabulary.offsets[-1]
     pairs = Pairs(folder, pieces, [*hot, size])  # the beginning, id ``size``, precedes every text
 
@@ -239,6 +248,7 @@ def _pairs(train: DataFrame, folder: str, pieces: int, vocabulary: Vocabulary, h
             seconds.append((key & np.uint64(0xFFFFFFFF)).astype(np.uint64))
             often = np.bincount(np.minimum(n, 5), minlength=6)[1:5]
             yield stats(2, np.arange(1, 5), often, often * 0, often * 0)
+            yield stats(3, *(np.array([x]) for x in (b, 1, 0, 0)))
         if seconds:
             word, n = np.unique(np.concatenate(seconds), return_counts=True)
             yield stats(1, word.view(np.int64), n, n * 0, n * 0)
@@ -246,7 +256,9 @@ def _pairs(train: DataFrame, folder: str, pieces: int, vocabulary: Vocabulary, h
     done = (train.mapInArrow(count, "bucket int, key long, n long").repartition(pieces, "bucket")
             .mapInArrow(write, "kind byte, id long, a long, b long, c long"))
     table = materialize(done, "lm_pairs").groupBy("kind", "id").agg(*[F.sum(x).alias(x) for x in "abc"])
-    return pairs, materialize(table, "lm_stats")
+    table = materialize(table, "lm_stats")
+    pairs.written[[r["id"] for r in table.where("kind = 3").select("id").collect()]] = True  # one row a piece
+    return pairs, table
 
 
 class Model:
@@ -262,9 +274,7 @@ class Model:
         piece = ids // self.slice_ids
         for p in np.unique(piece):
             on = piece == p
-            path = f"{self.folder}/{name}{p}.npy"
-            if os.path.exists(path):
-                out[on] = _mapped(path)[ids[on] - p * self.slice_ids]
+            out[on] = _mapped(f"{self.folder}/{name}{p}.npy")[ids[on] - p * self.slice_ids]  # every word has a slice
         return out
 
     def log10(self, h: np.ndarray, toff: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
