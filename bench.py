@@ -18,13 +18,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from textoverlap.plans.queries import QUERIES  # noqa: E402
-from textoverlap.session import build_session  # noqa: E402
+from textoverlap.session import build_session, drop_tables  # noqa: E402
 
-# Queries whose cost grows near-linearly with the corpus (plus output size).
+# Queries whose cost grows near-linearly with the corpus (plus candidates and output).
 # The exact edit-distance join (similar_sentence_pairs, doc_scores, ...)
 # and the exact Jaccard join compare every pair inside a length band (this
 # corpus has ~10K distinct 3-byte shingles, so prefixes are not selective);
-# they are checked at sf0.01. At sf0.1 the banded MinHash variants stand in.
+# they are checked at sf0.01. At sf0.1 the banded variants stand in.
 HEADLINE = [
     "sentences",
     "shingle_stats",
@@ -51,6 +51,7 @@ def main():
         t0 = time.time()
         rows[n] = consume(QUERIES[n](spark, sf_dir))
         times[n] = round(time.time() - t0, 3)
+        drop_tables(spark)
         print(f"# {n}: {times[n]}s rows={rows[n]}", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_time", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textoverlap.config import LOWER, UPPER
+from textoverlap.config import LEADING_WHITESPACE, LOWER, SENTENCE_DELIMITERS, UPPER
 
-DELIM_CLASS = "[.!?]"
-DELIM_RUN = "[.!?]+"
-LEAD_WS = "^[ \\n\\r\\t]+"
+DELIM_CLASS = f"[{SENTENCE_DELIMITERS}]"
+DELIM_RUN = f"{DELIM_CLASS}+"
+LEAD_WS = f"^[{LEADING_WHITESPACE}]+"
 
 
 def ascii_lower(c: Column) -> Column:
