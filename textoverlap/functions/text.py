@@ -1,9 +1,4 @@
-"""Text column functions: case folding, byte view, sentence splitting.
-
-All lengths and positions follow byte semantics: ``byte_view`` re-decodes the
-UTF-8 bytes as ISO-8859-1 so that one character is one byte and built-in
-``length``/``substring``/``levenshtein`` count bytes.
-"""
+"""Text column functions: case folding and sentence splitting. Lengths follow byte semantics (``octet_length``)."""
 
 from __future__ import annotations
 
@@ -22,11 +17,6 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def byte_view(c: Column) -> Column:
-    """The UTF-8 bytes of ``c`` as a string with one character per byte."""
-    return F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
-
-
 def delimiter_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(DELIM_CLASS)), F.lit(0))
 
@@ -44,22 +34,3 @@ def sentence_array(text: Column) -> Column:
     kept = F.filter(trimmed, lambda x: x != F.lit(""))
     n = delimiter_count(text)
     return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.slice(kept, 1, n))
-
-
-def shingle_starts(n_bytes: Column, k: int) -> Column:
-    """1-based start offsets of the k-byte shingles of a string of n bytes.
-
-    Guarded: ``sequence(1, 0)`` would count down, so short strings get [].
-    """
-    return F.when(n_bytes >= k, F.sequence(F.lit(1), n_bytes - (k - 1))).otherwise(
-        F.array().cast("array<int>"))
-
-
-def shingle_code(shingle: Column, k: int) -> Column:
-    """Injective integer code of a k-byte shingle (big-endian bytes), k <= 7."""
-    if k > 7:
-        raise ValueError("packed shingle codes need k <= 7")
-    code = F.lit(0).cast("long")
-    for i in range(1, k + 1):
-        code = code * 256 + F.ascii(shingle.substr(F.lit(i), F.lit(1))).cast("long")
-    return code

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from textoverlap.functions.dense import cosines, dense_vectors
 from textoverlap.functions.text import ascii_lower
 from textoverlap.operators.blocking import salted_join
-from textoverlap.operators.shingles import set_rows, shingles
+from textoverlap.operators.shingles import member_rows, shingles
 from textoverlap.session import materialize
 
 BLOCK = 128
@@ -39,10 +39,9 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 def group_members(clean: DataFrame, k: int = 3, block_rows: int = 2048) -> DataFrame:
     """``grp, line, ids``: the weighted set of each line that has one, in ids of its group's vocabulary."""
     keys = ["grp", "line"]
-    sh = materialize(shingles(clean, keys, k).select(*keys, "spos", "code", "weight"), "group_shingles")
-    first = sh.groupBy("grp", "code").agg(F.min(F.struct("line", "spos")).alias("f"))
+    first = shingles(clean, keys, k).groupBy("grp", "code").agg(F.min(F.struct("line", "spos")).alias("f"))
     vocab = first.select("grp", "code", F.row_number().over(Window.partitionBy("grp").orderBy("f")).cast("long").alias("vid"))
-    members = salted_join(set_rows(sh, keys, "weighted"), vocab, ["grp", "code"], "line", block_rows)
+    members = salted_join(member_rows(clean, keys, k, "weighted"), vocab, ["grp", "code"], "line", block_rows)
     return members.groupBy(*keys).agg(F.collect_list("vid").alias("ids"))  # one line's set
 
 

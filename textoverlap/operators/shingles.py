@@ -1,10 +1,7 @@
 """Shingle operators: k-byte shingles, weights, per-sentence sets.
 
-Shingles are produced by ``explode`` over start offsets (one byte-view decode
-per sentence, then a codegen'd substring per shingle); ``set_rows`` aggregates the
-shingle rows, whose partial step runs map-side because all shingles
-of a sentence are produced by one task. ``set_arrays`` and ``shingle_stats``
-give one row a sentence and work within it, for the sentences of an Arrow batch at once.
+Each operator works within a sentence's own row, for the sentences of an Arrow batch at once (``functions.sets``): sets,
+ranks and counts need no shuffle.
 """
 
 from __future__ import annotations
@@ -13,51 +10,63 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textoverlap.functions import sets
-from textoverlap.functions.shingle import code_hex, code_weight
-from textoverlap.functions.text import byte_view, shingle_code, shingle_starts
+from textoverlap.functions.shingle import code_hex
+
+
+def _with_text(df: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
+    kinds = dict(df.dtypes)
+    text = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
+    return df.select(*keys, text.alias("__text")), ", ".join(f"{c} {kinds[c]}" for c in keys)
 
 
 def shingles(df: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
     """``(*keys, spos, shingle, code, weight)``: every k-byte shingle, duplicates kept.
 
-    ``shingle`` is the hex of the bytes; ``spos`` starts at 1.
+    ``shingle`` is the hex of the bytes; ``spos`` starts at 1. Time grows with the bytes of a sentence, however long.
     """
-    b = df.select(*keys, byte_view(F.col("text")).alias("_b"),
-                  F.explode(shingle_starts(F.octet_length("text"), k)).alias("spos"))
-    s = b.select(*keys, "spos", shingle_code(F.col("_b").substr(F.col("spos"), F.lit(k)), k).alias("code"))
-    return s.select(*keys, "spos", code_hex(F.col("code"), k).alias("shingle"), "code",
-                    code_weight(F.col("code"), k).alias("weight"))
+    rows, schema = _with_text(df, keys)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, off in sets.runs(batch.column(len(keys))):
+                owner, code, weight = sets.shingle_rows(data, off, k)
+                spos = np.arange(len(owner)) - sets.offsets_of(owner, hi - lo)[owner] + 1
+                of = pa.array(lo + owner)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(of) for i in range(len(keys))), pa.array(spos.astype(np.int32)), pa.array(code), pa.array(weight)],
+                                                 names=[*keys, "spos", "code", "weight"])
 
-def set_rows(sh: DataFrame, keys: list[str], kind: str = "exact") -> DataFrame:
-    """``(*keys, spos, code)``: the first occurrence of each set member.
+    found = rows.mapInArrow(run, schema + ", spos int, code long, weight long")
+    return found.select(*keys, "spos", code_hex(F.col("code"), k).alias("shingle"), "code", "weight")
+
+
+def member_rows(df: DataFrame, keys: list[str], k: int = 3, kind: str = "exact") -> DataFrame:
+    """``(*keys, rank, spos, code)``: the members of each sentence's set in the order of their first positions.
 
     ``exact`` de-duplicates on the shingle; ``weighted`` on its weighted byte
     sum, first wins, as the original does (distinct shingles with equal sums
-    collapse).
+    collapse). Made in the sentence's own row; nothing is shuffled.
     """
-    if kind == "exact":
-        return sh.groupBy(*keys, "code").agg(F.min("spos").alias("spos")).select(*keys, "spos", "code")
-    if kind == "weighted":
-        f = sh.groupBy(*keys, "weight").agg(F.min(F.struct("spos", "code")).alias("f"))
-        return f.select(*keys, F.col("f.spos").alias("spos"), F.col("f.code").alias("code"))
-    raise ValueError(kind)
-
-
-def ranked_set(rows: DataFrame, keys: list[str], k: int = 3) -> DataFrame:
-    """``(*keys, rank, code, shingle)``, rank = position order within the sentence."""
-    w = Window.partitionBy(*keys).orderBy("spos")
-    return rows.select(*keys, F.row_number().over(w).alias("rank"), "code", code_hex(F.col("code"), k).alias("shingle"))
-
+    if kind not in ("exact", "weighted"):
+        raise ValueError(kind)
+    rows, schema = _with_text(df, keys)
 
-def _with_text(df: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
-    kinds = dict(df.dtypes)
-    text = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
-    return df.select(*keys, text.alias("__text")), ", ".join(f"{c} {kinds[c]}" for c in keys)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, off in sets.runs(batch.column(len(keys))):
+                owner, code, weight = sets.shingle_rows(data, off, k)
+                first = np.sort(sets.first_by(owner, code if kind == "exact" else weight))
+                own = owner[first]
+                rank = np.arange(len(own)) - sets.offsets_of(own, hi - lo)[own] + 1
+                spos = first - sets.offsets_of(owner, hi - lo)[own] + 1
+                of = pa.array(lo + own)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).take(of) for i in range(len(keys))), pa.array(rank.astype(np.int32)),
+                                                  pa.array(spos.astype(np.int32)), pa.array(code[first])], names=[*keys, "rank", "spos", "code"])
+
+    return rows.mapInArrow(run, schema + ", rank int, spos int, code long")
 
 
 def set_arrays(df: DataFrame, keys: list[str], k: int = 3, kind: str = "exact") -> DataFrame:

@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textoverlap.config import Params
+from textoverlap.functions.shingle import code_hex
 from textoverlap.functions.text import ascii_lower, delimiter_count
 from textoverlap.functions.vectors import cosine, cosine_from_sums, magnitude
 from textoverlap.operators import jaccard_join, edit_join
 from textoverlap.operators.blocking import salted_join
 from textoverlap.operators.sentences import sentence_counts, sentence_id, sentences
-from textoverlap.operators.shingles import ranked_set, set_rows, shingle_stats, shingles
+from textoverlap.operators.shingles import member_rows, shingle_stats, shingles
 from textoverlap.operators.signatures import minhash
 from textoverlap.operators.vocabulary import vocabulary
 from textoverlap.operators.line_cosine import similar_lines_cosine
@@ -73,20 +74,25 @@ def q_shingle_weights(spark, sf):
     return shingles(_sents(spark, sf), KEYS, P.k).select(*KEYS, "spos", "weight")
 
 
+def _ranked_set(sents, kind):
+    rows = member_rows(sents, KEYS, P.k, kind)
+    return rows.select(*KEYS, "rank", "code", code_hex(F.col("code"), P.k).alias("shingle"))
+
+
 def q_shingle_sets(spark, sf):
-    return ranked_set(set_rows(shingles(_sents(spark, sf), KEYS, P.k), KEYS, "exact"), KEYS, P.k)
+    return _ranked_set(_sents(spark, sf), "exact")
 
 
 def q_shingle_sets_weighted(spark, sf):
-    return ranked_set(set_rows(shingles(_sents(spark, sf), KEYS, P.k), KEYS, "weighted"), KEYS, P.k)
+    return _ranked_set(_sents(spark, sf), "weighted")
 
 
 def q_shingle_stats(spark, sf):
     return shingle_stats(_sents(spark, sf), KEYS, P.k)
 
 
-def _vocab(sents, sh=None):
-    return vocabulary(sh if sh is not None else shingles(sents, KEYS, P.k), KEYS, P.k)
+def _vocab(sents):
+    return vocabulary(shingles(sents, KEYS, P.k), KEYS, P.k)
 
 
 def q_vocabulary(spark, sf):
@@ -96,9 +102,8 @@ def q_vocabulary(spark, sf):
 
 def _members(sents):
     """``(doc_id, pos, vid)``: weighted set of each sentence in vocabulary ids."""
-    sh = shingles(sents, KEYS, P.k)
-    w = set_rows(sh, KEYS, "weighted")
-    return salted_join(w, _vocab(sents, sh).select("code", "vid"), ["code"], "doc_id", P.salt_rows).select(*KEYS, "vid")
+    w = member_rows(sents, KEYS, P.k, "weighted")
+    return salted_join(w, _vocab(sents).select("code", "vid"), ["code"], "doc_id", P.salt_rows).select(*KEYS, "vid")
 
 
 def q_sentence_membership(spark, sf):
