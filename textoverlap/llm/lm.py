@@ -148,7 +148,7 @@ def _vocabulary(train: DataFrame, folder: str, pieces: int) -> tuple[Vocabulary,
             _save(f"{folder}/c{b}.npy", n)
             yield pa.RecordBatch.from_arrays([pa.array([b]), pa.array([len(keys)]), pa.array([int(n.sum())])], names=["bucket", "size", "tokens"])
 
-    done = (train.mapInArrow(count, "bucket int, key long, n long").repartition(pieces, "bucket")
+    done = (train.mapInArrow(count, "bucket int, key long, n long").repartitionById(pieces, F.col("bucket"))
             .mapInArrow(write, "bucket long, size long, tokens long"))
     found = {r["bucket"]: r for r in materialize(done, "lm_vocabulary").collect()}  # one row a piece
     offsets = np.concatenate(([0], np.cumsum([found[b]["size"] if b in found else 0 for b in range(pieces)]))).astype(np.int64).tolist()
@@ -253,7 +253,7 @@ def _pairs(train: DataFrame, folder: str, pieces: int, vocabulary: Vocabulary, h
             word, n = np.unique(np.concatenate(seconds), return_counts=True)
             yield stats(1, word.view(np.int64), n, n * 0, n * 0)
 
-    done = (train.mapInArrow(count, "bucket int, key long, n long").repartition(pieces, "bucket")
+    done = (train.mapInArrow(count, "bucket int, key long, n long").repartitionById(pieces, F.col("bucket"))
             .mapInArrow(write, "kind byte, id long, a long, b long, c long"))
     table = materialize(done, "lm_pairs").groupBy("kind", "id").agg(*[F.sum(x).alias(x) for x in "abc"])
     table = materialize(table, "lm_stats")
@@ -339,7 +339,7 @@ def fit(train: DataFrame, text: str = "text", piece_bytes: int = PIECE_BYTES) ->
 
     by_id = stats.where("kind < 2").select((F.floor(F.col("id") / slice_ids)).cast("long").alias("p"), F.col("kind").cast("long"),
                                            "id", "a", "b", "c")
-    materialize(by_id.repartition(pieces, "p").mapInArrow(write, "slice long"), "lm_slices")
+    materialize(by_id.repartitionById(pieces, F.col("p").cast("int")).mapInArrow(write, "slice long"), "lm_slices")
     return Model(folder, vocabulary, pairs, tokens, texts, slice_ids, discounts, low, spread)
 
 
