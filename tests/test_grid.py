@@ -73,3 +73,76 @@ def test_jaccard_pairs_of_sets_of_all_sizes(spark):
     assert len(want) > 30 and got == want
     cross = {(r.sid_a, r.sid_b): r.jaccard for r in jaccard_join.similar_jaccard_pairs_rs(df, df, 0.7, 1).collect()}
     assert cross == {**{k: v[3] for k, v in want.items()}, **{k[::-1]: v[3] for k, v in want.items()}, **{(f"{i:03d}",) * 2: 1.0 for i in range(len(sets))}}
+
+
+def _sentences(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, pos int, text string")
+
+
+def test_sentence_vocabulary_counts_where_shingles_are_made(spark):
+    """Equals the vocabulary of shingle rows, with null and repeated keys; a batch gives one row a distinct shingle."""
+    from textoverlap.operators.shingles import shingles
+    from textoverlap.operators.vocabulary import key_numbers, sentence_vocabulary, vocabulary
+    rng = random.Random(9)
+    rows = [(rng.choice([None, -2, 3, 4, 11]), rng.randrange(1, 4), "".join(rng.choice("abé ") for _ in range(rng.randrange(0, 40)))) for _ in range(300)]
+    keys = ["doc_id", "pos"]
+    plain, made = (sorted(map(tuple, v.select("code", "first_doc_id", "first_pos", "first_spos", "n_occurrences").collect()), key=str)
+                   for v in (vocabulary(shingles(_sentences(spark, rows), keys), keys), sentence_vocabulary(_sentences(spark, rows), keys)))
+    assert plain == made and len(made) > 50
+    one = _sentences(spark, [(1, i, "abab " * 50) for i in range(1, 200)]).coalesce(1)
+    plan = sentence_vocabulary(one, keys)
+    assert plan.agg(F.sum("n_occurrences")).first()[0] == 199 * 248
+    assert key_numbers([pa.array([5, None, 5, 2]), pa.array(["b", "a", "a", None])]).tolist() == [3, 0, 2, 1]
+
+
+def test_encoded_members_and_signatures(spark, monkeypatch):
+    """Chunks of a few bytes; null keys, keys that come twice and sentences without a shingle."""
+    from textoverlap.operators import encoding
+    from textoverlap.operators.shingles import member_rows
+    from textoverlap.operators.signatures import minhash
+    from textoverlap.operators.vocabulary import sentence_vocabulary
+    monkeypatch.setattr(encoding, "CHUNK_BYTES", 500)
+    rng = random.Random(10)
+    rows = [(rng.choice([None, *range(20)]), rng.randrange(1, 6), "".join(rng.choice("abcd ") for _ in range(rng.randrange(0, 60)))) for _ in range(200)]
+    s, keys = _sentences(spark, rows), ["doc_id", "pos"]
+    v = sentence_vocabulary(s, keys)
+    want = member_rows(s, keys, 3, "weighted").join(v.select("code", "vid"), "code").select(*keys, "vid")
+    got = encoding.encoded_members(s, v, keys, 3, 1 << 18)
+    ordered = lambda df: sorted(map(tuple, df.collect()), key=str)
+    assert ordered(got) == ordered(want)
+    sig = encoding.sentence_signatures(s, v, keys, 3, 1 << 18, 16, 7).select(*keys, F.posexplode("signature").alias("j", "vid"))
+    assert ordered(sig.withColumn("j", F.col("j") + 1)) == ordered(minhash(want, keys, 16, 7))
+
+
+def test_first_by_packed_and_wide():
+    from textoverlap.functions import sets
+    rng = np.random.default_rng(1)
+    owner = np.sort(rng.integers(0, 30, 500))
+    for top in (5, 1 << 24, 1 << 56):
+        value = rng.choice(rng.integers(0, top, 40), 500)
+        first = {}
+        for i, key in enumerate(zip(owner.tolist(), value.tolist())):
+            first.setdefault(key, i)
+        assert sets.first_by(owner, value).tolist() == [first[k] for k in sorted(first)]
+    assert sets.first_by(owner[:0], owner[:0]).tolist() == []
+
+
+def test_batches_are_gathered_before_distances():
+    batches = [pa.RecordBatch.from_pydict({"x": [i, i + 1]}) for i in range(0, 10, 2)]
+    got = list(edit_join._gathered(iter(batches)))
+    assert len(got) == 1 and got[0].column(0).to_pylist() == list(range(10))
+    assert list(edit_join._gathered(iter([]))) == []
+
+
+def test_few_long_pairs_take_integers_and_many_take_words(monkeypatch):
+    """Equal distances either way; a few long pairs do not pay numpy's steps."""
+    from textoverlap.functions import distance
+    rng = random.Random(4)
+    texts = [bytes(rng.choice(b"abcd \xc3\xa9") for _ in range(rng.choice([0, 1, 63, 64, 65, 128, 300]))) for _ in range(60)]
+    left, right = pa.array(texts[:30], pa.binary()), pa.array(texts[30:], pa.binary())
+    few = distance.edit_distances(left, right)
+    monkeypatch.setattr(distance, "FEW", 0)
+    assert (few == distance.edit_distances(left, right)).all()
+    monkeypatch.setattr(distance, "FEW", 24)
+    monkeypatch.setattr(distance, "_columns", None)
+    assert (distance.edit_distances(left, right) == few).all()
