@@ -102,3 +102,20 @@ def test_a_small_side_meets_rows_where_they_are(spark, monkeypatch):
     assert runs[0] == runs[1] and all(map(len, runs[0]))
     sets = (set_arrays(x, ["sid"]) for x in (left, right))
     assert runs[0][1] == sorted(map(tuple, jaccard_join.similar_jaccard_pairs_rs(*sets).collect()))
+
+
+def test_band_candidates_get_few_distances(monkeypatch):
+    """Candidates of a band that pass the bounds of lengths and histograms had their distance computed, all of them."""
+    r = random.Random(6)
+    words = ["anon", "the", "ing", "ere", "tion", "ed", "hat", "ly", "wh", "is"]
+    texts = ["".join(r.choice(words) + " " for _ in range(14)).encode() for _ in range(150)]
+    texts += [t[:20] + b"x" + t[20:] for t in texts[:5]]
+    asked = []
+    plain = edit_join.edit_distances
+    monkeypatch.setattr(edit_join, "edit_distances", lambda a, b: asked.append(len(a)) or plain(a, b))
+    i, j = np.triu_indices(len(texts), 1)
+    got = {(a, b) for x, y, _ in edit_join.edit_test(0.7)(pa.array(texts, pa.binary()))(i, j) for a, b in zip(x.tolist(), y.tolist())}
+    similar = plain(pa.array([texts[a] for a in i], pa.binary()), pa.array([texts[b] for b in j], pa.binary()))
+    longest = np.maximum(*(np.array([len(texts[x]) for x in side]) for side in (i, j)))
+    assert got == {(a, b) for a, b, d, m in zip(i.tolist(), j.tolist(), similar.tolist(), longest.tolist()) if 1.0 - d / m >= 0.7}
+    assert {(k, 150 + k) for k in range(5)} <= got and sum(asked) < len(i) / 50
